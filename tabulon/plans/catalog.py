@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["trips"]
+PLAN_MODULES = ["trips", "topics"]
 
 
 def _modules():
