@@ -89,5 +89,5 @@ def parse_price_tsv(lines: DataFrame, col: str = "value", series: str | None = N
 def parse_wordlist(lines: DataFrame, col: str = "value") -> DataFrame:
     """Words separated by any whitespace (a line may hold more than one),
     lower-cased, distinct."""
-    w = F.explode(F.split(F.trim(F.col(col)), r"\s+")).alias("word")
-    return lines.select(F.lower(w).alias("word")).where(F.col("word") != "").distinct()
+    w = lines.select(F.explode(F.split(F.trim(F.col(col)), r"\s+")).alias("word"))
+    return w.select(F.lower("word").alias("word")).where(F.col("word") != "").distinct()
