@@ -47,4 +47,24 @@ def std_normal(seed, *parts) -> Column:
 def duck_uniform_sql(seed, *parts: str) -> str:
     """The same draw written for the DuckDB oracle."""
     key = " || ':' || ".join([f"'{seed}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
-    return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+def _duck_key(seed, parts) -> str:
+    out = [f"'{seed}'"]
+    for p in parts:
+        out.append(f"'{p[1:]}'" if isinstance(p, str) and p.startswith("=") else f"CAST({p} AS VARCHAR)")
+    return " || ':' || ".join(out)
+
+
+def duck_uniform_open_sql(seed, *parts: str) -> str:
+    """DuckDB text of ``uniform_open``; a part starting with '=' is a literal."""
+    return (f"((CAST(CAST(('0x' || substr(md5({_duck_key(seed, parts)}), 1, 8)) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE)"
+            " / 4294967296.0::DOUBLE)")
+
+
+def duck_std_normal_sql(seed, *parts: str) -> str:
+    """DuckDB text of ``std_normal``."""
+    u1 = duck_uniform_open_sql(seed, *parts, "=u1")
+    u2 = duck_uniform_open_sql(seed, *parts, "=u2")
+    return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos({2.0 * math.pi!r}::DOUBLE * {u2}))"

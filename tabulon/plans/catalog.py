@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["trips", "topics", "text"]
+PLAN_MODULES = ["trips", "topics", "text", "risk"]
 
 
 def _modules():

@@ -64,17 +64,23 @@ def rings_to_regions(df: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def read_price_csv_dir(spark: SparkSession, path: str) -> DataFrame:
-    """A directory of 'date,value,...' files, one per instrument, header
-    first, newest first. Series = file name without extension; files whose
-    first line mentions html (an error page saved as data) are dropped. Only
-    the date and the first value column are kept."""
+    """A directory of 'date,value,...' files, one per instrument (see
+    ``parse_price_csv``)."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
-    f = F.split("value", ",")
+    return parse_price_csv(lines)
+
+
+def parse_price_csv(lines: DataFrame, col: str = "value", file: str = "file") -> DataFrame:
+    """(series, dt, value) from 'date,value,...' lines tagged with their file
+    name. Series = file name without extension; header lines fail the date
+    parse and drop out; a file that holds html anywhere (an error page saved
+    as data) is dropped whole. Only the first value column is kept."""
+    f = F.split(F.col(col), ",")
     rows = lines.select(
-        F.regexp_replace("file", r"\.[^.]*$", "").alias("series"),
+        F.regexp_replace(F.col(file), r"\.[^.]*$", "").alias("series"),
         F.to_date(F.try_to_timestamp(f[0], F.lit("yyyy-MM-dd"))).alias("dt"),
         F.try_element_at(f, F.lit(2)).try_cast("double").alias("value"),
-        F.lower("value").contains("html").alias("_html"))
+        F.lower(F.col(col)).contains("html").alias("_html"))
     bad = rows.where("_html").select("series").distinct()
     return rows.where(F.col("dt").isNotNull() & F.col("value").isNotNull()) \
                .join(bad, "series", "left_anti").drop("_html")
@@ -96,4 +102,4 @@ def write_geojson(regions: list[tuple[int, str, list]], path: str) -> None:
 
 
 __all__ = ["read_xml", "write_xml", "read_geojson", "rings_to_regions", "read_price_csv_dir",
-           "write_delimited", "write_geojson", "ring_area"]
+           "parse_price_csv", "write_delimited", "write_geojson", "ring_area"]
