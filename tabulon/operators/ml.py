@@ -54,14 +54,12 @@ def one_hot_features(df: DataFrame, first_numeric: list[str], categoricals: list
     the category lists (model state)."""
     idx_cols = [f"_{c}_idx" for c in categoricals]
     oh_cols = [f"_{c}_oh" for c in categoricals]
-    indexer = StringIndexer(inputCols=categoricals, outputCols=idx_cols, stringOrderType="alphabetAsc",
-                            handleInvalid="keep").fit(df)
-    encoded = OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=False,
-                            handleInvalid="keep").fit(indexer.transform(df)).transform(indexer.transform(df))
+    indexer = StringIndexer(inputCols=categoricals, outputCols=idx_cols, stringOrderType="alphabetAsc").fit(df)
+    indexed = indexer.transform(df)
+    encoded = OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=False).fit(indexed).transform(indexed)
     asm = VectorAssembler(inputCols=first_numeric + oh_cols + rest_numeric, outputCol="_v", handleInvalid="keep")
     v = asm.transform(encoded)
-    # OneHotEncoder with handleInvalid=keep adds one extra slot per block for
-    # unseen values; drop it so a block has exactly one slot per category.
+    # a block has exactly one slot per category seen at fit time
     cats = dict(zip(categoricals, indexer.labelsArray))
     parts, pos = [], 0
     arr = vector_to_array(F.col("_v"))
@@ -70,7 +68,7 @@ def one_hot_features(df: DataFrame, first_numeric: list[str], categoricals: list
     for c in categoricals:
         n = len(cats[c])
         parts.append(F.slice(arr, pos + 1, n))
-        pos += n + 1
+        pos += n
     parts.append(F.slice(arr, pos + 1, len(rest_numeric)))
     res = v.withColumn(out, F.concat(*parts)).drop(*idx_cols, *oh_cols, "_v")
     return res, cats
