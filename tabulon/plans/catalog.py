@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["trips", "topics", "text", "risk", "recommend", "classify"]
+PLAN_MODULES = ["trips", "topics", "text", "risk", "recommend", "classify", "clusters"]
 
 
 def _modules():
