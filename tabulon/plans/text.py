@@ -123,7 +123,19 @@ def q_scan_xml(spark, sf_dir):
                        F.md5("text").alias("text_md5"))
 
 
+_LSA_CACHE: dict = {}
+
+
 def lsa(spark, sf_dir, k=K_CONCEPTS):
+    """The fitted LSA model, kept per application and input so the three
+    LSA queries share one SVD (U stays persisted, s and V are small)."""
+    key = (spark.sparkContext.applicationId, sf_dir, k)
+    if key not in _LSA_CACHE:
+        _LSA_CACHE[key] = _fit_lsa(spark, sf_dir, k)
+    return _LSA_CACHE[key]
+
+
+def _fit_lsa(spark, sf_dir, k):
     _tf, vocab, _idf, w = model(spark, sf_dir)
     vecs = T.term_doc_vectors(w, NUM_TERMS)
     n_terms = vocab.agg(F.count(F.lit(1))).first()[0]
@@ -136,15 +148,25 @@ def q_svd_factor(spark, sf_dir):
     return spark.createDataFrame([(i, float(x)) for i, x in enumerate(s)], "concept INT, singular_value DOUBLE")
 
 
+def concept_docs(spark, sf_dir):
+    """Top documents per concept, tied to their titles by doc_id (carried
+    through the SVD as the row index, not by position)."""
+    _vocab, _s, _v, u = lsa(spark, sf_dir)
+    titles = fx.articles(spark, sf_dir).select("doc_id", "title")
+    return top_k_per_group(u, "concept", TOP_PER_GROUP, [F.desc("weight"), "doc_id"]).join(titles, "doc_id") \
+        .select("concept", F.lit("doc").alias("kind"), "rank", F.col("title").alias("item"), "weight")
+
+
+def q_concept_docs_join(spark, sf_dir):
+    return concept_docs(spark, sf_dir)
+
+
 def q_lsa_concepts(spark, sf_dir):
-    vocab, _s, v, u = lsa(spark, sf_dir)
+    vocab, _s, v, _u = lsa(spark, sf_dir)
     terms = T.melt_matrix(spark, v).join(F.broadcast(vocab.select("term_id", "term")), "term_id")
     tt = top_k_per_group(terms, "concept", TOP_PER_GROUP, [F.desc("weight"), "term"]) \
         .select("concept", F.lit("term").alias("kind"), "rank", F.col("term").alias("item"), "weight")
-    titles = fx.articles(spark, sf_dir).select("doc_id", "title")
-    td = top_k_per_group(u, "concept", TOP_PER_GROUP, [F.desc("weight"), "doc_id"]).join(titles, "doc_id") \
-        .select("concept", F.lit("doc").alias("kind"), "rank", F.col("title").alias("item"), "weight")
-    return tt.unionByName(td)
+    return tt.unionByName(concept_docs(spark, sf_dir))
 
 
 QUERIES = {
@@ -165,6 +187,7 @@ QUERIES = {
     "scan_xml": q_scan_xml,
     "svd_factor": q_svd_factor,
     "lsa_concepts": q_lsa_concepts,
+    "concept_docs_join": q_concept_docs_join,
 }
 
 # ---------------------------------------------------------------- oracle SQL

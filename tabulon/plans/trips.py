@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from tabulon.operators.geo import point_in_polygon
 from tabulon.operators.sessions import consecutive_pairs, ordered_position, sessionize
 from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
+from tabulon.session import checkpoint_dir
+from tabulon.sources.files import read_geojson
 from tabulon.sources.text import parse_trips
 
 GAP_US = 4 * US_PER_HOUR
@@ -140,7 +144,34 @@ def q_stats_by_group(spark, sf_dir):
     return s.select("region", "n", *[F.round(c, 6).alias(c) for c in ("mean", "stdev", "min", "max")])
 
 
+def region_geojson_text(spark, sf_dir) -> DataFrame:
+    """A GeoJSON FeatureCollection built from the ``region`` table: region k
+    is the unit-high rectangle [2k, 2k + 1 + k/2] x [0, 1 + k] (a polygon
+    list is one document, so the features are gathered into one row; its
+    size is the number of regions)."""
+    r = fx.table(spark, sf_dir, "region")
+    k = F.col("r_regionkey").cast("double")
+    x0, x1, y1 = k * 2, k * 2 + 1 + k / 2, k + 1
+    ring = F.array(F.array(x0, F.lit(0.0)), F.array(x1, F.lit(0.0)), F.array(x1, y1), F.array(x0, y1),
+                   F.array(x0, F.lit(0.0)))
+    feat = F.struct(F.lit("Feature").alias("type"),
+                    F.create_map(F.lit("boroughCode"), F.col("r_regionkey").cast("string"),
+                                 F.lit("borough"), F.col("r_name")).alias("properties"),
+                    F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    return r.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                    F.collect_list(feat).alias("features"))).alias("value"))
+
+
+def q_scan_geojson(spark, sf_dir):
+    out = f"{checkpoint_dir(spark).rstrip('/')}/regions-{uuid.uuid4().hex}"
+    region_geojson_text(spark, sf_dir).coalesce(1).write.text(out)
+    g = read_geojson(spark, out)
+    return g.select("code", "name", F.round("area", 6).alias("area"), "min_x", "min_y", "max_x", "max_y",
+                    F.size("edges").cast("bigint").alias("n_edges"))
+
+
 QUERIES = {
+    "scan_geojson": q_scan_geojson,
     "scan_trips_csv": q_scan_trips_csv,
     "parse_timestamp": q_parse_timestamp,
     "parse_point": q_parse_point,
@@ -188,6 +219,10 @@ _GAPS = duck.with_ctes(
       "WINDOW w AS (PARTITION BY license ORDER BY pickup, event_id)")
 
 ORACLE = {
+    "scan_geojson": "SELECT r_regionkey AS code, r_name AS name, ROUND((1 + r_regionkey / 2.0) * (r_regionkey + 1), 6) "
+                    "AS area, CAST(2 * r_regionkey AS DOUBLE) AS min_x, 0.0::DOUBLE AS min_y, "
+                    "2 * r_regionkey + 1 + r_regionkey / 2.0 AS max_x, CAST(r_regionkey + 1 AS DOUBLE) AS max_y, "
+                    "CAST(5 AS BIGINT) AS n_edges FROM region",
     "scan_trips_csv": duck.with_ctes(
         "SELECT event_id AS trip_id, CAST(license AS VARCHAR) AS license, "
         "epoch_us(date_trunc('second', pickup)) AS pickup_us, epoch_us(date_trunc('second', dropoff)) AS dropoff_us, "
