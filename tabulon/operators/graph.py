@@ -119,8 +119,9 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     endpoint of lower (degree, id) to the higher one, which bounds every
     vertex's out-degree by O(sqrt(E)); wedges come from one equi join on the
     shared endpoint and are closed by a second equi join on the edge list."""
+    # the undirected edge list feeds four joins: materialise it once
     e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")) \
-             .where(F.col("u") != F.col("v")).distinct()
+             .where(F.col("u") != F.col("v")).distinct().persist()
     deg = degrees(e.select(F.col("u").alias("src"), F.col("v").alias("dst")))
     du = deg.select(F.col("id").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("id").alias("v"), F.col("degree").alias("dv"))
@@ -131,8 +132,9 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     o1, o2 = o.alias("o1"), o.alias("o2")
     wedges = o1.join(o2, (F.col("o1.a") == F.col("o2.a")) & (F.col("o1.b") < F.col("o2.b"))) \
                .select(F.col("o1.a").alias("x"), F.col("o1.b").alias("y"), F.col("o2.b").alias("z"))
-    closed = wedges.join(e, ((F.col("y") == F.col("u")) & (F.col("z") == F.col("v")))
-                         | ((F.col("z") == F.col("u")) & (F.col("y") == F.col("v"))), "left_semi")
+    # y < z and every edge is stored as (u, v) with u < v: closing a wedge is
+    # one equi join on (y, z) = (u, v)
+    closed = wedges.join(e, (F.col("y") == F.col("u")) & (F.col("z") == F.col("v")), "left_semi")
     per_v = closed.select(F.explode(F.array("x", "y", "z")).alias("id")) \
                   .groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
     return (vertices.select("id").join(per_v, "id", "left")
@@ -141,6 +143,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Mean over all vertices of triangles / (d (d - 1) / 2), 0 when d < 2."""
+    edges = edges.select("src", "dst").persist()
     tri = triangle_count(vertices, edges)
     e = edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")) \
              .where(F.col("src") != F.col("dst")).distinct()

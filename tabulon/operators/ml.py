@@ -8,7 +8,6 @@ no cross join with a centre table, no per-row Python."""
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
@@ -45,33 +44,26 @@ def standardize(arr, means: list[float], stdevs: list[float]) -> Column:
     return F.transform(a, lambda x, i: F.when(s[i] > 0, (x - m[i]) / s[i]).otherwise(x - m[i]))
 
 
+def category_lists(df: DataFrame, categoricals: list[str]) -> dict:
+    """Distinct values of each categorical, ascending (model state: its size
+    is the number of categories). One partially aggregated pass for all."""
+    r = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in categoricals]).first()
+    return {c: list(r[c]) for c in categoricals}
+
+
 def one_hot_features(df: DataFrame, first_numeric: list[str], categoricals: list[str],
                      rest_numeric: list[str], out: str = "features") -> tuple[DataFrame, dict]:
     """Numeric columns with one-hot blocks inserted after ``first_numeric``:
     each categorical becomes a 0/1 block over its distinct values in
-    ascending order (StringIndexer alphabetAsc + OneHotEncoder without
-    dropping a level). Returns the table with an ARRAY<DOUBLE> ``out`` and
-    the category lists (model state)."""
-    idx_cols = [f"_{c}_idx" for c in categoricals]
-    oh_cols = [f"_{c}_oh" for c in categoricals]
-    indexer = StringIndexer(inputCols=categoricals, outputCols=idx_cols, stringOrderType="alphabetAsc").fit(df)
-    indexed = indexer.transform(df)
-    encoded = OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=False).fit(indexed).transform(indexed)
-    asm = VectorAssembler(inputCols=first_numeric + oh_cols + rest_numeric, outputCol="_v", handleInvalid="keep")
-    v = asm.transform(encoded)
-    # a block has exactly one slot per category seen at fit time
-    cats = dict(zip(categoricals, indexer.labelsArray))
-    parts, pos = [], 0
-    arr = vector_to_array(F.col("_v"))
-    parts.append(F.slice(arr, 1, len(first_numeric)))
-    pos = len(first_numeric)
+    ascending order (what StringIndexer(alphabetAsc) + OneHotEncoder
+    (dropLast=False) produce), built as one array expression. Returns the
+    table with an ARRAY<DOUBLE> ``out`` and the category lists."""
+    cats = category_lists(df, categoricals)
+    parts = [F.col(c).cast("double") for c in first_numeric]
     for c in categoricals:
-        n = len(cats[c])
-        parts.append(F.slice(arr, pos + 1, n))
-        pos += n
-    parts.append(F.slice(arr, pos + 1, len(rest_numeric)))
-    res = v.withColumn(out, F.concat(*parts)).drop(*idx_cols, *oh_cols, "_v")
-    return res, cats
+        parts += [F.when(F.col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)) for v in cats[c]]
+    parts += [F.col(c).cast("double") for c in rest_numeric]
+    return df.withColumn(out, F.array(*parts)), cats
 
 
 def un_one_hot(arr, start: int, length: int) -> Column:

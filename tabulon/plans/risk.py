@@ -80,7 +80,7 @@ def model_1f(spark, sf_dir):
     """Scenario inputs with one-factor regression weights (exactly checkable)."""
     fm = factor_matrix(spark, sf_dir).cache()
     means, cov = R.covariance(fm, NF)
-    w = R.simple_regression_weights(instrument_returns(spark, sf_dir), "series", "idx", "ret", fm, 0, NF)
+    w = R.simple_regression_weights(instrument_returns(spark, sf_dir), "series", "idx", "ret", fm, 0, NF).persist()
     wbar = R.mean_weights(w, 1 + 3 * NF)
     trials = R.factor_scenarios(spark, means, cov, NUM_TRIALS, SEED, PARALLELISM).persist()
     # the trial table is read by several actions (VaR, bootstrap): keep it,

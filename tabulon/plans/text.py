@@ -35,7 +35,8 @@ def article_tf(spark, sf_dir) -> DataFrame:
 
 
 def model(spark, sf_dir):
-    tf = article_tf(spark, sf_dir)
+    # tf feeds the document count, document frequencies, totals and tf-idf
+    tf = article_tf(spark, sf_dir).persist()
     n_docs = tf.select("doc_id").distinct().agg(F.count(F.lit(1))).scalar()
     vocab = T.vocabulary(T.doc_freq(tf), NUM_TERMS)
     idf = T.idf(vocab, n_docs)
