@@ -161,7 +161,6 @@ def q_tree_grid_categorical(spark, sf_dir):
                  ML.un_one_hot("features", 1 + n_flag + n_status, n_brand).cast("double").alias("brand"),
                  "l_quantity", "l_extendedprice", "l_discount", "l_tax", "label", "l_orderkey", "l_linenumber")
     from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.attribute import NominalAttribute  # noqa: F401  (documented below)
     d = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc").fit(d).transform(d)
     va = VectorAssembler(inputCols=["flag", "brand", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
                          outputCol="features")
