@@ -20,7 +20,11 @@ from tabulon.sources.files import read_geojson
 from tabulon.sources.text import parse_trips
 
 GAP_US = 4 * US_PER_HOUR
-REGION_RANK = [F.col("code"), -F.col("area")]
+
+
+def region_rank():
+    """Polygon priority: region code ascending, then larger area first."""
+    return [F.col("code"), -F.col("area")]
 
 
 def _ts_text(c):
@@ -55,7 +59,7 @@ def clean_trips(spark, sf_dir) -> DataFrame:
 
 
 def with_region(df: DataFrame, spark) -> DataFrame:
-    return point_in_polygon(df, "lon", "lat", fx.regions(spark), REGION_RANK, out_col="region")
+    return point_in_polygon(df, "lon", "lat", fx.regions(spark), region_rank(), out_col="region")
 
 
 def gaps(spark, sf_dir) -> DataFrame:

@@ -46,3 +46,11 @@ def test_every_key_is_callable():
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
     assert len(qs) >= 130
+
+
+def test_oracle_sql_needs_no_spark_session():
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; assert len(E.oracle_sql()) > 100; assert len(E.queries()) > 100"
+    r = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
