@@ -209,8 +209,12 @@ def bootstrap_weights(trials: DataFrame, seed: int, replicates: int, id_col: str
     -- resampling with replacement at fraction 1.0, one pass, no per-replicate
     job. Rows with weight 0 are dropped."""
     r = trials.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    w = poisson1(uniform(seed, id_col, "replicate"))
-    return r.withColumn("weight", w).where(F.col("weight") > 0)
+    # the uniform is its own column so the 16 cut-point tests reuse one md5
+    r = r.withColumn("_u", uniform(seed, id_col, "replicate"))
+    # weight > 0 exactly when u >= P(K = 0); filtering on u keeps the pushed-
+    # down predicate to one comparison instead of inlining all cut points
+    r = r.where(F.col("_u") >= F.lit(POISSON1_CDF[0]))
+    return r.withColumn("weight", poisson1(F.col("_u"))).drop("_u")
 
 
 def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str = "ret",
@@ -218,18 +222,20 @@ def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str
     """(replicate, n, k, var, cvar) of each bootstrap replicate.
 
     Per replicate, k = max(n_b / 20, 1) of the resampled multiset; VaR is its
-    k-th smallest value, CVaR the mean of the k smallest. Only trials in the
-    lowest ``tail_fraction`` are ordered (per replicate, one task each);
-    every replicate's tail weight is verified to cover k, and a replicate
-    that is not covered is recomputed over all trials."""
-    wts = bootstrap_weights(trials.select(id_col, col), seed, replicates, id_col)
-    totals = wts.groupBy("replicate").agg(F.sum("weight").alias("n"))
-    cut = trials.agg(F.percentile_approx(col, F.lit(tail_fraction), 10_000).alias("c")).first()["c"]
+    k-th smallest value, CVaR the mean of the k smallest. The replicate sizes
+    n_b need one aggregate pass over all (row, replicate) weights (100 rows
+    out); only trials in the lowest ``tail_fraction`` are then weighted again
+    and ordered (per replicate). Every replicate's tail weight is verified to
+    cover k; a replicate that is not covered is recomputed over all trials."""
+    base = trials.select(id_col, col)
+    totals = bootstrap_weights(base, seed, replicates, id_col).groupBy("replicate") \
+        .agg(F.sum("weight").alias("n")).withColumn(
+            "k", F.greatest(F.floor(F.col("n") / 20), F.lit(1)).cast("bigint")).persist()
+    cut = base.agg(F.percentile_approx(col, F.lit(tail_fraction), 10_000).alias("c")).first()["c"]
 
     def stats(src: DataFrame) -> DataFrame:
         w = Window.partitionBy("replicate").orderBy(col, id_col)
-        s = (src.join(totals, "replicate")
-                .withColumn("k", F.greatest(F.floor(F.col("n") / 20), F.lit(1)).cast("bigint"))
+        s = (bootstrap_weights(src, seed, replicates, id_col).join(F.broadcast(totals), "replicate")
                 .withColumn("cw", F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("cw_prev", F.col("cw") - F.col("weight"))
                 .where(F.col("cw_prev") < F.col("k")))
@@ -238,13 +244,12 @@ def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str
             F.max(col).alias("var"), (F.sum(take * F.col(col)) / F.first("k")).alias("cvar"),
             F.max("cw").alias("covered"))
 
-    tail = stats(wts.where(F.col(col) <= F.lit(cut)))
+    tail = stats(base.where(F.col(col) <= F.lit(cut))).persist()
     ok = tail.where(F.col("covered") >= F.col("k")).select("replicate", "n", "k", "var", "cvar")
-    bad = totals.join(ok.select("replicate"), "replicate", "left_anti")
+    bad = totals.join(ok.select("replicate"), "replicate", "left_anti").select("replicate")
     if bad.isEmpty():
         return ok
-    redo = stats(wts.join(bad.select("replicate"), "replicate", "left_semi")).select(
-        "replicate", "n", "k", "var", "cvar")
+    redo = stats(base).join(bad, "replicate", "left_semi").select("replicate", "n", "k", "var", "cvar")
     return ok.unionByName(redo)
 
 
