@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabulon.functions.rng import uniform
+from tabulon.operators.windows import bucketed_position
 from tabulon.session import checkpoint_dir
 
 
@@ -75,7 +76,9 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int, user: st
         draws = todo.select(user, "_p", "_have", F.explode(F.sequence(F.col("_j0"), F.col("_j0") + w - 1)).alias("_j"))
         draws = draws.withColumn("item_idx", F.floor(uniform(seed, user, "_j") * F.lit(n_items)).cast("bigint"))
         draws = draws.join(idx, "item_idx").join(pos, [user, item], "left_anti")
-        ranked = draws.withColumn("_r", F.row_number().over(Window.partitionBy(user).orderBy("_j")))
+        # rank of each counting draw within its user, cut into blocks of draws
+        ranked = bucketed_position(draws.withColumn("_jb", F.floor(F.col("_j") / F.lit(4096))), user, "_jb",
+                                   ["_j"], "_r")
         got = ranked.where(F.col("_have") + F.col("_r") <= F.col("_p")).select(user, item, "_j").persist()
         chosen = got if chosen is None else chosen.unionByName(got)
         counts = got.groupBy(user).agg(F.count(F.lit(1)).alias("_g"))
