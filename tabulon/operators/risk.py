@@ -115,6 +115,8 @@ def mean_weights(weights: DataFrame, n_pos: int) -> list[float]:
     Trial returns are linear in the weights, so the mean of instrument
     returns equals one dot product with these."""
     n = weights.select(weights.columns[0]).distinct().count()
+    if n == 0:
+        raise ValueError("no instrument has a regression weight (too little price history in range)")
     sums = dict(weights.groupBy("pos").agg(F.sum("coef").alias("s")).select("pos", "s").collect())
     return [float(sums.get(p, 0.0)) / n for p in range(n_pos)]
 
