@@ -38,11 +38,23 @@ def polygon_cells(regions: DataFrame, cell: float, rank_cols: list,
                  .agg(F.array_sort(F.collect_list(cand)).alias("candidates")))
 
 
+def auto_cell_size(regions: DataFrame) -> float:
+    """Half the median bounding-box side of the polygons: a polygon then
+    covers a handful of cells, so the cell table grows with the number of
+    polygons, not with their extent."""
+    side = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    med = regions.agg(F.percentile_approx(side, F.lit(0.5), 10_000).alias("m")).first()["m"]
+    return float(med) / 2.0 if med and med > 0 else 1.0
+
+
 def point_in_polygon(points: DataFrame, lon: str, lat: str, regions: DataFrame,
-                     rank_cols: list, out_col: str = "region", cell: float = 1.0,
+                     rank_cols: list, out_col: str = "region", cell: float | None = 1.0,
                      name_col: str = "name") -> DataFrame:
     """Add ``out_col``: the name of the first polygon (by ``rank_cols``) that
-    contains (lon, lat), or null when none does."""
+    contains (lon, lat), or null when none does. ``cell=None`` picks the grid
+    size from the polygons (``auto_cell_size``)."""
+    if cell is None:
+        cell = auto_cell_size(regions)
     cells = polygon_cells(regions, cell, rank_cols, name_col)
     n_cells = cells.count()  # size check before broadcasting (table of polygons, not points)
     side = F.broadcast(cells) if n_cells <= BROADCAST_MAX_CELLS else cells

@@ -16,6 +16,9 @@ def test_point_in_polygon_priority_and_misses(spark):
     r = point_in_polygon(pts, "lon", "lat", fx.regions(spark), [F.col("code"), -F.col("area")])
     got = {x["id"]: x["region"] for x in r.collect()}
     assert got == {1: "west", 2: "west", 3: "triangle", 4: "ell", 5: "ell", 6: None, 7: None}
+    for cell in (None, 0.3, 7.0):
+        r2 = point_in_polygon(pts, "lon", "lat", fx.regions(spark), [F.col("code"), -F.col("area")], cell=cell)
+        assert {x["id"]: x["region"] for x in r2.collect()} == got
 
 
 def test_ranking_auc_ties_are_not_wins(spark):
