@@ -52,3 +52,15 @@ def column_moments(df: DataFrame, vec: str, key_cols: tuple = ()) -> DataFrame:
     return g.select(*key_cols, "pos", "n", "s", "ss", (F.col("s") / F.col("n")).alias("mean"),
                     (F.sqrt(F.greatest(F.col("n") * F.col("ss") - F.col("s") * F.col("s"), F.lit(0.0)))
                      / F.col("n")).alias("stdev"))
+
+
+def group_lists(df: DataFrame, key: str, value: str, chunk: int = 10_000, block: int = 1 << 16) -> DataFrame:
+    """(key, chunk, n, values): the values of each key, ascending, as arrays
+    of at most ``chunk`` elements. A key with more values gets several
+    chunks, so no single array (or task) has to hold an unbounded group;
+    positions come from a bucketed window over value blocks."""
+    from tabulon.operators.windows import bucketed_position
+    b = df.select(key, value).withColumn("_blk", F.floor(F.col(value) / F.lit(block)))
+    p = bucketed_position(b, key, "_blk", [value], "_pos")
+    g = p.groupBy(key, F.floor((F.col("_pos") - 1) / F.lit(chunk)).cast("bigint").alias("chunk"))
+    return g.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(value)).alias("values"))

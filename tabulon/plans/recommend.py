@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.rng import duck_uniform_sql
 from tabulon.operators import evaluate as EV
 from tabulon.operators import ml as ML
+from tabulon.operators.aggs import group_lists
 from tabulon.operators.joins import canonicalize, lookup, popularity_score
 from tabulon.operators.sampling import random_split, sample_negatives
 from tabulon.operators.topk import top_k
@@ -114,16 +115,14 @@ def q_join_inner_pairs(spark, sf_dir):
 
 
 def q_group_lists(spark, sf_dir):
-    r = fx.ratings(spark, sf_dir)
-    return r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"),
-                                    F.array_sort(F.collect_list("item_id")).alias("items"))
+    g = group_lists(fx.ratings(spark, sf_dir), "user_id", "item_id")
+    return g.select("user_id", "chunk", F.col("n").alias("n_items"), F.col("values").alias("items"))
 
 
 def q_key_value_views(spark, sf_dir):
-    # (key, value) pairs: user -> item list flattened back (flatMapValues)
+    # keys / values / flatMapValues of (user, item) pairs are projections
     r = fx.ratings(spark, sf_dir)
-    lists = r.groupBy("user_id").agg(F.collect_list("item_id").alias("items"))
-    return lists.select(F.col("user_id").alias("key"), F.explode("items").alias("value"))
+    return r.select(F.col("user_id").alias("key"), F.col("item_id").alias("value"))
 
 
 def q_take_n(spark, sf_dir):
@@ -252,7 +251,9 @@ ORACLE = {
                               "(SELECT item_id FROM ratings WHERE user_id = (SELECT u FROM fu))"),
     "lookup_key": _q("SELECT item_id, name FROM items WHERE item_id = (SELECT MIN(alias_id) FROM alias)"),
     "join_inner_pairs": _q("SELECT r.user_id, r.item_id, i.name FROM ratings r JOIN items i ON r.item_id = i.item_id"),
-    "group_lists": _q("SELECT user_id, COUNT(*) AS n_items, list_sort(list(item_id)) AS items FROM ratings GROUP BY user_id"),
+    "group_lists": _q("SELECT user_id, chunk, COUNT(*) AS n_items, list_sort(list(item_id)) AS items FROM (SELECT *, "
+                      "CAST((ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY item_id) - 1) // 10000 AS BIGINT) AS chunk "
+                      "FROM ratings) r GROUP BY user_id, chunk"),
     "key_value_views": _q("SELECT user_id AS key, item_id AS value FROM ratings"),
     "take_n": _q(f"SELECT user_id, item_id, rating FROM ratings ORDER BY rating DESC, user_id, item_id LIMIT {TOP_N}"),
     "sample_negatives": _q("SELECT user_id, item_id, j AS draw FROM neg", **_NEG),

@@ -45,3 +45,10 @@ def test_sessionize_hot_key_matches_plain_window(spark):
     exp = df.withColumn("_s", start).withColumn(
         "session_no", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     assert {r["id"]: r["session_no"] for r in got.collect()} == {r["id"]: r["session_no"] for r in exp.collect()}
+
+
+def test_group_lists_chunks(spark):
+    from tabulon.operators.aggs import group_lists
+    df = spark.createDataFrame([(1, v) for v in [9, 3, 70000, 5, 1, 8, 2, 7, 6, 4]] + [(2, 5)], "k INT, v BIGINT")
+    got = sorted((r["k"], r["chunk"], r["n"], list(r["values"])) for r in group_lists(df, "k", "v", chunk=3).collect())
+    assert got == [(1, 0, 3, [1, 2, 3]), (1, 1, 3, [4, 5, 6]), (1, 2, 3, [7, 8, 9]), (1, 3, 1, [70000]), (2, 0, 1, [5])]
