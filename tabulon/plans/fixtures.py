@@ -128,7 +128,14 @@ REGION_SCHEMA = ("code INT, name STRING, area DOUBLE, min_x DOUBLE, min_y DOUBLE
 
 
 def regions(spark) -> DataFrame:
-    return spark.createDataFrame(region_rows(), REGION_SCHEMA)
+    """The polygon table built from literals (JVM-side)."""
+    structs = []
+    for code, name, area, x0, y0, x1, y1, edges in region_rows():
+        es = F.array(*[F.struct(*[F.lit(float(e[k])).alias(k) for k in ("x1", "y1", "x2", "y2")]) for e in edges])
+        structs.append(F.struct(F.lit(code).alias("code"), F.lit(name).alias("name"), F.lit(area).alias("area"),
+                                F.lit(x0).alias("min_x"), F.lit(y0).alias("min_y"), F.lit(x1).alias("max_x"),
+                                F.lit(y1).alias("max_y"), es.alias("edges")))
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def instrument_prices(spark, sf_dir) -> DataFrame:

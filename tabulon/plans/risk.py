@@ -62,7 +62,9 @@ def factors(spark, sf_dir) -> DataFrame:
 
 
 def _prepare(raw: DataFrame) -> DataFrame:
-    trimmed = TS.trim_date_range(raw, "series", "dt", "value", START, END)
+    # the trimmed histories (series x days, small next to the order table they
+    # come from) feed the calendar and both sides of the fill: build them once
+    trimmed = TS.trim_date_range(raw, "series", "dt", "value", START, END).persist()
     cal = TS.weekday_calendar(trimmed, "series", START, END)
     return TS.asof_fill(trimmed, cal, "series", "dt", "value")
 
