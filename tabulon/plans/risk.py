@@ -224,7 +224,7 @@ def q_bootstrap_interval(spark, sf_dir):
 
 def _backtest(spark, sf_dir):
     _, ret = model_1f(spark, sf_dir)
-    v = R.value_at_risk(ret).first()["var"]
+    v = R.value_at_risk(ret).first()["var"]  # one number to the driver
     port = instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret"))
     return R.count_failures(port, "ret", v)
 

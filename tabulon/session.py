@@ -12,6 +12,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# ``spark.sql.shuffle.partitions`` is left to the cluster: size it so a
+# shuffle partition holds a few hundred MB at the target scale (tens of
+# thousands of partitions for ~100 TB) and let AQE coalesce small ones.
 # Settings every plan in this package relies on. AQE re-plans joins and
 # coalesces/splits shuffle partitions at runtime; skew-join splits a hot key
 # (one key may hold a third of the rows) across tasks.
