@@ -225,10 +225,18 @@ def q_bootstrap_interval(spark, sf_dir):
 def _backtest(spark, sf_dir):
     _, ret = model_1f(spark, sf_dir)
     v = R.value_at_risk(ret).first()["var"]  # one number to the driver
-    port = instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret"))
+    port = _model_part(spark, sf_dir, "portfolio",
+                       lambda: instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret")).persist())
     return R.count_failures(port, "ret", v)
 
 
+def _model_part(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MODEL_CACHE:
+        _MODEL_CACHE[key] = build()
+    return _MODEL_CACHE[key]
+
+
 def q_count_failures(spark, sf_dir):
     return _backtest(spark, sf_dir)
 
