@@ -23,5 +23,5 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     out = {}
     for m in _modules():
-        out.update(getattr(m, "ORACLE", {}))
+        out.update({k: v for k, v in m.oracle().items() if v})
     return out

@@ -282,7 +282,7 @@ _NESTED = ("SELECT o_orderkey AS doc_id, {agg} AS {name} FROM orders LEFT JOIN l
            "GROUP BY o_orderkey")
 
 
-def _oracle():
+def oracle():
     S, P = duck.F_TOPICS_SUPP, duck.F_TOPICS_PART
     deg_e = _DEG.format(e="e")
     return {
@@ -346,6 +346,3 @@ def _oracle():
             agg="list_sort(COALESCE(list(CAST(l_suppkey AS VARCHAR)) FILTER (WHERE l_returnflag = 'R'), []))",
             name="major"),
     }
-
-
-ORACLE = _oracle()

@@ -48,9 +48,28 @@ def test_every_key_is_callable():
     assert len(qs) >= 130
 
 
-def test_oracle_sql_needs_no_spark_session():
+def _run(code):
     import subprocess
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    code = "import __spark_entry__ as E; assert len(E.oracle_sql()) > 100; assert len(E.queries()) > 100"
     r = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
     assert r.returncode == 0, r.stderr[-2000:]
+
+
+def test_oracle_sql_needs_no_spark_session():
+    _run("import __spark_entry__ as E; assert len(E.oracle_sql()) > 100; assert len(E.queries()) > 100")
+
+
+def test_import_needs_no_spark_jars():
+    """queries() and oracle_sql() build where Spark's jar folder can't be listed."""
+    _run("import glob, zipfile\n"
+         "glob.glob = lambda *a, **k: []\n"
+         "def refuse(*a, **k): raise OSError('no jars')\n"
+         "zipfile.ZipFile = refuse\n"
+         "import __spark_entry__ as E; assert len(E.queries()) > 100; assert len(E.oracle_sql()) > 100")
+
+
+def test_import_without_training_data_folders():
+    """The optional subpackage and its pipeline may be absent."""
+    _run("import sys\n"
+         "sys.modules['corpus_pipeline'] = None\n"
+         "import __spark_entry__ as E; assert len(E.queries()) > 100; assert 'pipeline' not in E.queries()")
