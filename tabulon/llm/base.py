@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,3 +107,21 @@ def grams(hashes: Column, n: int) -> Column:
     return F.when(F.size(hashes) >= n, F.transform(F.sequence(F.lit(1), F.size(hashes) - (n - 1)),
                                                    lambda i: F.xxhash64(F.slice(hashes, i, n)))) \
             .otherwise(F.array().cast("array<bigint>"))
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the executors, which may
+    not have it installed."""
+    sc = df.sparkSession.sparkContext
+    if not getattr(sc, "_tabulon_sent", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="tabulon-code-"), "tabulon_code.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)  # Spark's own file transfer, not a shared path
+        sc._tabulon_sent = True
+    return df.mapInArrow(run, schema)

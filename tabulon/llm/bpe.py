@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from tabulon.llm.base import in_arrow
+
 SHORT = 64               # bytes; longer words go to the heap
 REMEMBERED = 500_000     # words kept with their ids per Python process
 NO_RANK = np.int32(2**31 - 1)
@@ -238,7 +240,7 @@ def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -
                 col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*rows.columns, col], [*rows.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -258,7 +260,7 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
                 texts = pa.array([v.decode(x or ()) for x in rows.column(at).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*rows.columns, texts], [*rows.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def digests(ids: str = "ids", decoded: str = "decoded") -> list[Column]:

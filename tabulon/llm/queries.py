@@ -5,12 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, decontaminate, lines, quality, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, quality, simhash
 from tabulon.llm.base import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_chat(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = [spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"),
+                                  F.lit(role).alias("role"), F.lit(said).alias("text")) for i, role in enumerate(("user", "assistant"))]
+    windows = chat.format_chat(given.unionByName(more[0]).unionByName(more[1]))
+    back = chat.read_back(windows)
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op5_html(spark, sf_dir):
+    texts = html.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +56,8 @@ def op10_winnow(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_chat": op2_chat,
+    "op5_html": op5_html,
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,

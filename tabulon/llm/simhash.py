@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabulon.llm.base import components, cut
+from tabulon.llm.base import components, cut, in_arrow
 
 RADIUS = 3
 SHINGLE = 3       # words
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, doc: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     ids = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return in_arrow(ids, run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
 def _signed(x: int) -> int:
