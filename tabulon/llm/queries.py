@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, quality, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, simhash
 from tabulon.llm.base import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,13 @@ def op2_chat(spark, sf_dir):
                        F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op3_pii(spark, sf_dir):
+    found = pii.sanitise(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda b: b["k"] == k)).cast("bigint").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
 def op5_html(spark, sf_dir):
     texts = html.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
@@ -57,6 +64,7 @@ def op10_winnow(spark, sf_dir):
 
 QUERIES = {
     "op2_chat": op2_chat,
+    "op3_pii": op3_pii,
     "op5_html": op5_html,
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
