@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,15 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder (smaller
+    than a checkpoint, and later reads take only the columns they need)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def words(text: Column) -> Column:
     """Runs of non-white-space characters, in order (null text: none)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")

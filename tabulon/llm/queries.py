@@ -5,12 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, repeats, simhash
 from tabulon.llm.base import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_repeats(spark, sf_dir):
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_chat(spark, sf_dir):
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -63,6 +68,7 @@ def op10_winnow(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_repeats": op1_repeats,
     "op2_chat": op2_chat,
     "op3_pii": op3_pii,
     "op5_html": op5_html,
