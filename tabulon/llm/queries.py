@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, repeats, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, repeats, secrets, simhash
 from tabulon.llm.base import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,6 +61,10 @@ def op8_lines(spark, sf_dir):
                       F.sha2("text", 256).alias("text_sha256"))
 
 
+def op9_secrets(spark, sf_dir):
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
 def op10_winnow(spark, sf_dir):
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
@@ -71,11 +75,12 @@ QUERIES = {
     "op1_repeats": op1_repeats,
     "op2_chat": op2_chat,
     "op3_pii": op3_pii,
-    "op5_html": op5_html,
     "op4_simhash": op4_simhash,
+    "op5_html": op5_html,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op8_lines": op8_lines,
+    "op9_secrets": op9_secrets,
     "op10_winnow": op10_winnow,
 }
 
