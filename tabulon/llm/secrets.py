@@ -35,7 +35,7 @@ DICTIONARY = 3000        # most frequent corpus words, 3 to 10 letters
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 HELD_WORDS = 200_000     # words counted in memory before they are passed on
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 #: Public formats of providers' keys (fixed values).
 FORMATS = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|sk_live_[A-Za-z0-9]{16,}|"
                      r"xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}")
