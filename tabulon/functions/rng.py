@@ -44,6 +44,14 @@ def std_normal(seed, *parts) -> Column:
     return F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
 
 
+def fast_uniform(seed: int, *parts) -> Column:
+    """Uniform in [0, 1) from 53 bits of XXH64 over (seed, parts): a counter
+    draw as well, many times cheaper than md5, for draws by the billion. Not
+    reproducible in SQL engines without XXH64."""
+    cols = [F.lit(int(seed)).cast("bigint")] + [(F.col(p) if isinstance(p, str) else p).cast("bigint") for p in parts]
+    return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
+
+
 def duck_uniform_sql(seed, *parts: str) -> str:
     """The same draw written for the DuckDB oracle."""
     key = " || ':' || ".join([f"'{seed}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])

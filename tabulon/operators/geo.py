@@ -6,8 +6,8 @@ its own cell, equi-joins the cell table (at most one match, so no row
 expansion and no regrouping afterwards) and picks the first candidate whose
 ring contains it (even-odd ray casting, a JVM expression).
 
-The cell table is broadcast only when its row count is under a checked
-bound; beyond that it is a shuffle hash join on the cell key, where AQE's
+The cell table is broadcast only when the polygon edges it holds are under a
+checked bound; beyond that it is a shuffle hash join on the cell key, where AQE's
 skew handling splits a hot cell.
 """
 
@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.geometry import contains
+from tabulon.session import cut
 
-BROADCAST_MAX_CELLS = 200_000
+BROADCAST_MAX_EDGES = 1_000_000  # of 32 bytes, over all cells
 
 
 def polygon_cells(regions: DataFrame, cell: float, rank_cols: list,
@@ -48,7 +49,7 @@ def auto_cell_size(regions: DataFrame) -> float:
 
 
 def point_in_polygon(points: DataFrame, lon: str, lat: str, regions: DataFrame,
-                     rank_cols: list, out_col: str = "region", cell: float | None = 1.0,
+                     rank_cols: list, out_col: str = "region", cell: float | None = None,
                      name_col: str = "name") -> DataFrame:
     """Add ``out_col``: the name of the first polygon (by ``rank_cols``) that
     contains (lon, lat), or null when none does. ``cell=None`` picks the grid
@@ -56,8 +57,10 @@ def point_in_polygon(points: DataFrame, lon: str, lat: str, regions: DataFrame,
     if cell is None:
         cell = auto_cell_size(regions)
     cells = polygon_cells(regions, cell, rank_cols, name_col)
-    n_cells = cells.count()  # size check before broadcasting (table of polygons, not points)
-    side = F.broadcast(cells) if n_cells <= BROADCAST_MAX_CELLS else cells
+    cells = cut(cells)
+    held = F.aggregate("candidates", F.lit(0).cast("bigint"), lambda a, c: a + F.size(c["edges"]))
+    n_edges = cells.agg(F.sum(held).alias("n")).first()["n"] or 0  # size check (polygons, not points)
+    side = F.broadcast(cells) if n_edges <= BROADCAST_MAX_EDGES else cells
     p = points.withColumn("_cx", F.floor(F.col(lon) / cell)).withColumn("_cy", F.floor(F.col(lat) / cell))
     j = p.join(side, (p["_cx"] == side["cx"]) & (p["_cy"] == side["cy"]), "left")
     px, py = F.col(lon), F.col(lat)

@@ -1,8 +1,8 @@
 """Graph operators over two DataFrames: vertices(id, ...) and undirected
 edges(src, dst, ...) stored once with src < dst.
 
-Iterative algorithms (components, BFS) run a bounded number of DataFrame
-rounds; each round's state is cut from its lineage with a reliable
+Iterative algorithms (components, BFS) run DataFrame rounds until nothing
+changes; each round's state is cut from its lineage with a reliable
 ``checkpoint()`` into the shared ``spark.checkpoint.dir``, so a lost
 executor recomputes at most one round.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.stats import chi_squared_yates
-from tabulon.session import checkpoint_dir
+from tabulon.session import checkpoint_dir, cut
 
 
 def cooccurrence(doc_items: DataFrame, doc: str = "doc_id", item: str = "topic") -> DataFrame:
@@ -84,7 +84,7 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _sym_distinct(out)
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): component = smallest vertex id reachable. Isolated
     vertices form their own component.
 
@@ -95,15 +95,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     checkpoint_dir(spark)
     e = _sym_distinct(edges.select("src", "dst")).checkpoint()
     n = e.count()
-    for _ in range(max_rounds):
+    while True:
         nxt = _small_star(_large_star(e)).checkpoint()
         m = nxt.count()
-        if m == n and nxt.join(e, ["src", "dst"], "left_anti").isEmpty():
-            e = nxt
-            break
+        settled = m == n and nxt.join(e, ["src", "dst"], "left_anti").isEmpty()
         e, n = nxt, m
-    else:
-        raise RuntimeError("connected_components did not converge")
+        if settled:
+            break
     comp = e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("component"))
     return (vertices.select("id").join(comp.withColumnRenamed("src", "id"), "id", "left")
             .select("id", F.coalesce("component", "id").alias("component")))
@@ -121,7 +119,8 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     shared endpoint and are closed by a second equi join on the edge list."""
     # the undirected edge list feeds four joins: materialise it once
     e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")) \
-             .where(F.col("u") != F.col("v")).distinct().persist()
+             .where(F.col("u") != F.col("v")).distinct()
+    e = cut(e)
     deg = degrees(e.select(F.col("u").alias("src"), F.col("v").alias("dst")))
     du = deg.select(F.col("id").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("id").alias("v"), F.col("degree").alias("dv"))
@@ -143,7 +142,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Mean over all vertices of triangles / (d (d - 1) / 2), 0 when d < 2."""
-    edges = edges.select("src", "dst").persist()
+    edges = cut(edges.select("src", "dst"))
     tri = triangle_count(vertices, edges)
     e = edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")) \
              .where(F.col("src") != F.col("dst")).distinct()
@@ -156,7 +155,7 @@ def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- BFS
-def bfs_hops(sources: DataFrame, edges: DataFrame, max_rounds: int = 1_000) -> DataFrame:
+def bfs_hops(sources: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, hops): shortest hop count from every source vertex to every
     vertex it reaches (hops 0 for itself).
 
@@ -175,8 +174,6 @@ def bfs_hops(sources: DataFrame, edges: DataFrame, max_rounds: int = 1_000) -> D
     hop = 0
     while True:
         hop += 1
-        if hop > max_rounds:
-            raise RuntimeError("bfs_hops exceeded max_rounds")
         nxt = (level.join(adj, F.col("dst") == F.col("v")).select("src", F.col("w").alias("dst")).distinct()
                .join(level, ["src", "dst"], "left_anti")
                .join(prev, ["src", "dst"], "left_anti")).checkpoint()

@@ -13,7 +13,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.vectors import as_double_array
+from tabulon.functions.vectors import as_double_array, euclidean_distance
+from tabulon.operators.windows import dense_index
 
 INT_MAX = 2**31 - 1
 
@@ -74,23 +75,40 @@ def un_one_hot(arr, start: int, length: int) -> Column:
 
 
 # ---------------------------------------------------------------- ALS
-def check_int_ids(df: DataFrame, *cols: str) -> None:
-    """ALS needs ids in the 32-bit range; fail loudly rather than wrap."""
+def int_ids(df: DataFrame, *cols: str) -> tuple[DataFrame, dict]:
+    """``df`` with ids that fit ALS's 32-bit range: columns outside it are
+    re-indexed densely, and returned with their (id, idx) table by name."""
     r = df.agg(*[F.max(c).alias(c) for c in cols], *[F.min(c).alias(f"min_{c}") for c in cols]).first()
+    tables = {}
     for c in cols:
         if r[c] is not None and (r[c] > INT_MAX or r[f"min_{c}"] < 0):
-            raise ValueError(f"{c} outside the int range ALS supports: re-index first")
+            tables[c] = dense_index(df, c, "_idx")
+            df = df.join(tables[c], c).drop(c).withColumnRenamed("_idx", c)
+    return df, tables
 
 
 def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 5, reg: float = 0.01, alpha: float = 1.0,
             seed: int = 42, user: str = "user_id", item: str = "item_id", rating: str = "rating"):
-    """Implicit-feedback ALS (blocked, distributed)."""
-    check_int_ids(ratings, user, item)
+    """Implicit-feedback ALS (blocked, distributed). Ids outside the 32-bit
+    range are re-indexed; ``factors`` gives them back."""
+    ratings, tables = int_ids(ratings.select(user, item, rating), user, item)
     data = ratings.select(F.col(user).cast("int").alias(user), F.col(item).cast("int").alias(item),
                           F.col(rating).cast("float").alias(rating))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol=user, itemCol=item, ratingCol=rating, coldStartStrategy="drop")
-    return als.fit(data)
+    model = als.fit(data)
+    model.id_tables = tables
+    return model
+
+
+def factors(model, kind: str, col: str) -> DataFrame:
+    """(col, features) of the model's 'user' or 'item' factors, under the
+    original ids."""
+    f = (model.userFactors if kind == "user" else model.itemFactors).select(F.col("id").cast("bigint").alias(col), "features")
+    table = model.id_tables.get(col)
+    if table is None:
+        return f
+    return f.withColumnRenamed(col, "_idx").join(table, "_idx").select(col, "features")
 
 
 def recommend_top_n(model, users: DataFrame, n: int, user: str = "user_id", item: str = "item_id") -> DataFrame:
@@ -136,6 +154,17 @@ def cluster_assign(df: DataFrame, arr: str, centres: list[list[float]], cluster:
              .withColumn(distance, F.sqrt(F.col("_best.d"))).drop("_best")
 
 
+def assign_with(model, df: DataFrame, arr: str, features: str = "features") -> DataFrame:
+    """Cluster and distance under a fitted model: the model's own transform
+    (no literal per centre in the plan), then one distance per row to the
+    centre it chose, looked up in a table of k rows."""
+    spark = df.sparkSession
+    table = spark.createDataFrame(list(enumerate(centres_of(model))), "cluster INT, _centre ARRAY<DOUBLE>")
+    p = model.transform(df).withColumnRenamed("prediction", "cluster")
+    p = p.join(F.broadcast(table), "cluster")  # k rows, a parameter
+    return p.withColumn("distance", euclidean_distance(arr, F.col("_centre"))).drop("_centre")
+
+
 def clustering_score(assigned: DataFrame, distance: str = "distance") -> DataFrame:
     """Mean distance to the nearest centre."""
     return assigned.agg(F.avg(distance).alias("score"))

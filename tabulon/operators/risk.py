@@ -2,7 +2,8 @@
 Monte Carlo scenarios, VaR / CVaR, bootstrap intervals, backtest, density.
 
 Only tiny model state reaches the driver (a factor covariance matrix, its
-Cholesky factor, averaged regression weights, two quantile bounds). Trial
+Cholesky factor, averaged regression weights, quantile bounds, one row per
+bootstrap replicate); VaR and bootstrap statistics run eagerly for it. Trial
 tables are generated in-plan with ``spark.range`` and counter-based normals,
 so they are identical on any cluster layout and after task retries.
 """
@@ -16,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabulon.functions.rng import std_normal, uniform
+from tabulon.functions.rng import fast_uniform, std_normal
 from tabulon.functions.stats import signed_sqrt, signed_square
+from tabulon.session import held
 
 
 # ---------------------------------------------------------------- features
@@ -44,11 +46,14 @@ def feature_table(fm: DataFrame, idx: str, n_factors: int) -> DataFrame:
 # ---------------------------------------------------------------- moments
 def covariance(fm: DataFrame, n_factors: int) -> tuple[np.ndarray, np.ndarray]:
     """Sample means and sample covariance of the factor columns (one
-    aggregate pass; returns n and n x n numbers to the driver)."""
+    aggregate pass; returns n and n x n numbers to the driver), or
+    (None, None) where there are too few rows for a covariance."""
     cols = [f"f{i}" for i in range(n_factors)]
     aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
     aggs += [F.covar_samp(cols[i], cols[j]).alias(f"c{i}_{j}") for i in range(n_factors) for j in range(i, n_factors)]
     r = fm.agg(*aggs).first()
+    if any(r[f"c{i}_{i}"] is None for i in range(n_factors)):
+        return None, None
     means = np.array([r[f"m{i}"] for i in range(n_factors)])
     cov = np.zeros((n_factors, n_factors))
     for i in range(n_factors):
@@ -75,13 +80,11 @@ def ols_per_group(y: DataFrame, key: str, idx: str, yv: str, features: DataFrame
     in one task); only the small (p x p) system of each key is solved, in a
     grouped pandas function whose group holds p*p + p rows."""
     j = y.select(key, idx, yv).join(features, idx)
-    p_len = F.size("x")
     xx = j.select(key, F.posexplode(F.flatten(F.transform("x", lambda a: F.transform("x", lambda b: a * b))))
                   .alias("pos", "v"), F.lit("xx").alias("part"))
     xy = j.select(key, F.posexplode(F.transform("x", lambda a: a * F.col(yv))).alias("pos", "v"),
                   F.lit("xy").alias("part"))
     sums = xx.unionByName(xy).groupBy(key, "part", "pos").agg(F.sum("v").alias("v"))
-    del p_len
 
     def solve(pdf):
         import pandas as pd
@@ -110,24 +113,37 @@ def simple_regression_weights(y: DataFrame, key: str, idx: str, yv: str, fm: Dat
             .select(key, "w.pos", "w.coef")
 
 
-def mean_weights(weights: DataFrame, n_pos: int) -> list[float]:
+def mean_weights(weights: DataFrame, n_pos: int) -> list[float] | None:
     """Average weight vector over instruments (n_pos numbers to the driver).
     Trial returns are linear in the weights, so the mean of instrument
-    returns equals one dot product with these."""
+    returns equals one dot product with these. None without instruments."""
     n = weights.select(weights.columns[0]).distinct().count()
     if n == 0:
-        raise ValueError("no instrument has a regression weight (too little price history in range)")
+        return None
     sums = dict(weights.groupBy("pos").agg(F.sum("coef").alias("s")).select("pos", "s").collect())
     return [float(sums.get(p, 0.0)) / n for p in range(n_pos)]
 
 
 # ---------------------------------------------------------------- scenarios
-def factor_scenarios(spark, means: np.ndarray, cov: np.ndarray, num_trials: int, seed: int,
-                     partitions: int) -> DataFrame:
+def cholesky(cov: np.ndarray) -> np.ndarray:
+    """A matrix L with L L' = cov: the Cholesky factor, or, where the
+    covariance is singular, the square root of its eigenvalues."""
+    try:
+        return np.linalg.cholesky(cov)
+    except np.linalg.LinAlgError:
+        values, vectors = np.linalg.eigh(cov)
+        q, r = np.linalg.qr((vectors * np.sqrt(np.clip(values, 0, None))).T)
+        return (r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None]).T
+
+
+def factor_scenarios(spark, means, cov, num_trials: int, seed: int, partitions: int, n_factors: int) -> DataFrame:
     """(trial_id, f0 .. fn-1): multivariate normal draws mean + L z with L
-    the Cholesky factor of ``cov`` (literals) and z counter-based normals."""
+    the Cholesky factor of ``cov`` (literals) and z counter-based normals.
+    No trials without a covariance."""
+    if means is None:
+        return spark.range(0).select(F.col("id").alias("trial_id"), *[F.lit(0.0).alias(f"f{i}") for i in range(n_factors)])
     n = len(means)
-    chol = np.linalg.cholesky(cov)
+    chol = cholesky(cov)
     t = spark.range(0, num_trials, 1, partitions).withColumnRenamed("id", "trial_id")
     z = [std_normal(seed, "trial_id", F.lit(i)) for i in range(n)]
     t = t.select("trial_id", *[zi.alias(f"z{i}") for i, zi in enumerate(z)])
@@ -140,8 +156,11 @@ def factor_scenarios(spark, means: np.ndarray, cov: np.ndarray, num_trials: int,
     return t.select("trial_id", *cols)
 
 
-def portfolio_trial_returns(trials: DataFrame, w: list[float], n_factors: int) -> DataFrame:
-    """(trial_id, ret): w . [1, features(trial)] with the averaged weights."""
+def portfolio_trial_returns(trials: DataFrame, w: list[float] | None, n_factors: int) -> DataFrame:
+    """(trial_id, ret): w . [1, features(trial)] with the averaged weights;
+    none without weights."""
+    if w is None:
+        return trials.where(F.lit(False)).select("trial_id", F.lit(0.0).alias("ret"))
     feats = featurize([f"f{i}" for i in range(n_factors)])
     ret = F.lit(w[0])
     for k, f in enumerate(feats, start=1):
@@ -150,48 +169,71 @@ def portfolio_trial_returns(trials: DataFrame, w: list[float], n_factors: int) -
 
 
 # ---------------------------------------------------------------- tails
-def k_smallest_summary(df: DataFrame, col: str, k: int, tie: str | None = None,
-                       accuracy: int = 10_000) -> tuple[float, float]:
+def k_smallest_summary(df: DataFrame, col: str, k: int, accuracy: int = 10_000, few: int = 20_000) -> tuple[float, float]:
     """Exact (k-th smallest value, sum of the k smallest) without sorting the
     table or gathering it in one task.
 
-    ``percentile_approx`` brackets rank k within +-n/accuracy rows; one
-    aggregate pass counts and sums below the bracket and verifies it; only
-    the rows inside the bracket (about 2n/accuracy) are ordered. If the
-    bracket fails verification the bracket widens to the whole range."""
-    n = df.count()
+    ``percentile_approx`` brackets rank k within the open range; one
+    aggregate counts and sums what lies below the bracket, in it, and at its
+    lower end. The bracket (or, if the rank falls outside, the side it fell
+    on) becomes the range, until it holds ``few`` rows at most, which come to
+    the driver as values with counts. Ties count as value times count: a
+    range that no longer shrinks has its rank at its lower end, or goes on
+    above it. (nan, nan) for an empty table."""
+    x = F.col(col)
+    n = df.where(x.isNotNull()).count()
     if n == 0 or k <= 0:
         return float("nan"), float("nan")
-    k = min(k, n)
-    q = k / n
-    lo_q, hi_q = max(q - 2.0 / accuracy, 0.0), min(q + 2.0 / accuracy, 1.0)
-    lo, hi = df.agg(F.percentile_approx(col, [lo_q, hi_q], accuracy).alias("b")).first()["b"]
-    if lo_q == 0.0:
-        lo = None
-    if hi_q == 1.0:
-        hi = None
-    x = F.col(col)
-    below = (x < F.lit(lo)) if lo is not None else F.lit(False)
-    upto = (x <= F.lit(hi)) if hi is not None else F.lit(True)
-    r = df.agg(F.sum(below.cast("long")).alias("c_lt"), F.sum(F.when(below, x).otherwise(0.0)).alias("s_lt"),
-               F.sum(upto.cast("long")).alias("c_le")).first()
-    c_lt, s_lt, c_le = int(r["c_lt"] or 0), float(r["s_lt"] or 0.0), int(r["c_le"] or 0)
-    if not (c_lt < k <= c_le):
-        below, upto, c_lt, s_lt = F.lit(False), F.lit(True), 0, 0.0
-    band = df.where(~below & upto)
-    order = [x] + ([F.col(tie)] if tie else [])
-    top = band.orderBy(*order).limit(k - c_lt).agg(F.max(x).alias("kth"), F.sum(x).alias("s"))
-    t = top.first()
-    return float(t["kth"]), s_lt + float(t["s"])
-
-
-def value_at_risk(trials: DataFrame, col: str = "ret", tie: str = "trial_id") -> DataFrame:
-    """The largest of the lowest max(n / 20, 1) values, and their mean (CVaR)."""
-    n = trials.count()
-    k = max(n // 20, 1)
-    kth, s = k_smallest_summary(trials, col, k, tie)
+    k, done_n, done_s = min(k, n), 0, 0.0
+    band, m = df.where(x.isNotNull()).select(x.alias(col)), n
+    while m > few:
+        q = (k - done_n) / m
+        a, b = band.agg(F.percentile_approx(col, [max(q - 2.0 / accuracy, 0.0), min(q + 2.0 / accuracy, 1.0)], accuracy).alias("p")).first()["p"]
+        lt, eq, le = x < F.lit(a), x == F.lit(a), x <= F.lit(b)
+        r = band.agg(F.count_if(lt).alias("lt"), F.sum(F.when(lt, x)).alias("s_lt"), F.count_if(eq).alias("eq"),
+                     F.count_if(le).alias("le"), F.sum(F.when(le, x)).alias("s_le")).first()
+        rank = k - done_n
+        if rank <= r["lt"]:
+            band, m = band.where(lt), r["lt"]
+        elif rank <= r["lt"] + r["eq"]:
+            return float(a), done_s + float(r["s_lt"] or 0.0) + (rank - r["lt"]) * float(a)
+        elif rank <= r["le"]:
+            band, m = band.where((x > F.lit(a)) & le), r["le"] - r["lt"] - r["eq"]
+            done_n, done_s = done_n + r["lt"] + r["eq"], done_s + float(r["s_lt"] or 0.0) + r["eq"] * float(a)
+        else:
+            band, m = band.where(x > F.lit(b)), m - r["le"]
+            done_n, done_s = done_n + r["le"], done_s + float(r["s_le"])
+    for value, count in sorted((float(v), c) for v, c in band.groupBy(col).count().collect()):
+        take = min(count, k - done_n)
+        done_n, done_s = done_n + take, done_s + take * value
+        if done_n == k:
+            return value, done_s
+    raise AssertionError("rank beyond the table")
+
+
+def k_smallest_rows(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:
+    """The k rows with the smallest ``col``, of equal ones those with the
+    smallest ``tie``: two order statistics and a filter, no sort."""
+    with held(df.select(col, tie)) as t:
+        kth, _ = k_smallest_summary(t, col, k)
+        below, at = F.col(col) < F.lit(kth), F.col(col) == F.lit(kth)
+        n_below = t.agg(F.count_if(below).alias("n")).first()["n"]
+        last, _ = k_smallest_summary(t.where(at), tie, k - n_below)
+    return df.where(below | (at & (F.col(tie) <= F.lit(last))))
+
+
+def value_at_risk(trials: DataFrame, col: str = "ret") -> DataFrame:
+    """(k, var, cvar): the largest of the lowest k = max(n / 20, 1) values,
+    and their mean; no row for no trials."""
     spark = trials.sparkSession
-    return spark.createDataFrame([(int(k), kth, s / k)], "k BIGINT, var DOUBLE, cvar DOUBLE")
+    schema = "k BIGINT, var DOUBLE, cvar DOUBLE"
+    with held(trials.select(col)) as t:
+        n = t.count()
+        if n == 0:
+            return spark.createDataFrame([], schema)
+        k = max(n // 20, 1)
+        kth, s = k_smallest_summary(t, col, k)
+    return spark.createDataFrame([(int(k), kth, s / k)], schema)
 
 
 # Poisson(1) inverse-CDF cut points: P(K <= j) for j = 0..15 (a rule, not a table).
@@ -211,8 +253,7 @@ def bootstrap_weights(trials: DataFrame, seed: int, replicates: int, id_col: str
     -- resampling with replacement at fraction 1.0, one pass, no per-replicate
     job. Rows with weight 0 are dropped."""
     r = trials.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    # the uniform is its own column so the 16 cut-point tests reuse one md5
-    r = r.withColumn("_u", uniform(seed, id_col, "replicate"))
+    r = r.withColumn("_u", fast_uniform(seed, id_col, "replicate"))
     # weight > 0 exactly when u >= P(K = 0); filtering on u keeps the pushed-
     # down predicate to one comparison instead of inlining all cut points
     r = r.where(F.col("_u") >= F.lit(POISSON1_CDF[0]))
@@ -220,39 +261,44 @@ def bootstrap_weights(trials: DataFrame, seed: int, replicates: int, id_col: str
 
 
 def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str = "ret",
-                         id_col: str = "trial_id", tail_fraction: float = 0.1) -> DataFrame:
+                         id_col: str = "trial_id", cuts: int = 200) -> DataFrame:
     """(replicate, n, k, var, cvar) of each bootstrap replicate.
 
     Per replicate, k = max(n_b / 20, 1) of the resampled multiset; VaR is its
-    k-th smallest value, CVaR the mean of the k smallest. The replicate sizes
-    n_b need one aggregate pass over all (row, replicate) weights (100 rows
-    out); only trials in the lowest ``tail_fraction`` are then weighted again
-    and ordered (per replicate). Every replicate's tail weight is verified to
-    cover k; a replicate that is not covered is recomputed over all trials."""
-    base = trials.select(id_col, col)
-    totals = bootstrap_weights(base, seed, replicates, id_col).groupBy("replicate") \
-        .agg(F.sum("weight").alias("n")).withColumn(
-            "k", F.greatest(F.floor(F.col("n") / 20), F.lit(1)).cast("bigint")).persist()
-    cut = base.agg(F.percentile_approx(col, F.lit(tail_fraction), 10_000).alias("c")).first()["c"]
-
-    def stats(src: DataFrame) -> DataFrame:
-        w = Window.partitionBy("replicate").orderBy(col, id_col)
-        s = (bootstrap_weights(src, seed, replicates, id_col).join(F.broadcast(totals), "replicate")
-                .withColumn("cw", F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("cw_prev", F.col("cw") - F.col("weight"))
-                .where(F.col("cw_prev") < F.col("k")))
-        take = F.least(F.col("weight"), F.col("k") - F.col("cw_prev"))
-        return s.groupBy("replicate", "n", "k").agg(
-            F.max(col).alias("var"), (F.sum(take * F.col(col)) / F.first("k")).alias("cvar"),
-            F.max("cw").alias("covered"))
-
-    tail = stats(base.where(F.col(col) <= F.lit(cut))).persist()
-    ok = tail.where(F.col("covered") >= F.col("k")).select("replicate", "n", "k", "var", "cvar")
-    bad = totals.join(ok.select("replicate"), "replicate", "left_anti").select("replicate")
-    if bad.isEmpty():
-        return ok
-    redo = stats(base).join(bad, "replicate", "left_semi").select("replicate", "n", "k", "var", "cvar")
-    return ok.unionByName(redo)
+    k-th smallest value, CVaR the mean of the k smallest. Returns are cut
+    into ordered buckets (fine around the 5% quantile, where every
+    replicate's rank falls); one pass sums weights per (replicate, bucket),
+    a running sum over these few rows finds the bucket that holds rank k, and
+    only the rows of such buckets are weighted again, summed per value (ties
+    are one row) and ordered: no task holds more than one bucket."""
+    base = trials.select(F.col(id_col).alias("_id"), F.col(col).cast("double").alias("_x")).where("_x is not null")
+    spread = [0.0] + [0.05 + (i / (cuts - 1) - 0.5) * 0.04 for i in range(cuts)] + [1.0]
+    edges = base.agg(F.percentile_approx("_x", spread[1:-1], 100_000).alias("p")).first()["p"] or []
+    edges = sorted(set(edges))
+    table = F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>")
+    # the number of edges below the value
+    bucketed = base.withColumn("_b", F.size(F.filter(table, lambda e: e < F.col("_x"))))
+    order = Window.partitionBy("replicate").orderBy("_b")
+    with held(bucketed) as rows:
+        sums = bootstrap_weights(rows, seed, replicates, "_id").groupBy("replicate", "_b").agg(
+            F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("_x")).alias("s"))
+        size = F.sum("w").over(Window.partitionBy("replicate"))
+        per = sums.select("replicate", "_b", "w", size.alias("n"), (F.sum("w").over(order) - F.col("w")).alias("before"),
+                          (F.sum("s").over(order) - F.col("s")).alias("s_before"))
+        per = per.withColumn("k", F.greatest(F.floor(F.col("n") / 20), F.lit(1)).cast("bigint"))
+        hits = per.where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("w"))).drop("w")
+        with held(hits) as hit:  # one row per replicate
+            inner = rows.join(F.broadcast(hit.select("_b").distinct()), "_b", "left_semi")
+            drawn = bootstrap_weights(inner, seed, replicates, "_id").join(F.broadcast(hit), ["replicate", "_b"])
+            keys = ["replicate", "n", "k", "before", "s_before"]
+            drawn = drawn.groupBy(*keys, "_x").agg(F.sum("weight").alias("w"))
+            prev = F.col("before") + F.sum("w").over(Window.partitionBy("replicate").orderBy("_x")) - F.col("w")
+            drawn = drawn.withColumn("prev", prev).where("prev < k")
+            take = F.least(F.col("w"), F.col("k") - F.col("prev"))
+            out = drawn.groupBy(*keys).agg(F.max("_x").alias("var"), F.sum(take * F.col("_x")).alias("s"))
+            out = out.select("replicate", "n", "k", "var", ((F.col("s_before") + F.col("s")) / F.col("k")).alias("cvar"))
+            found = out.collect()  # as many rows as replicates
+    return trials.sparkSession.createDataFrame(found, "replicate INT, n BIGINT, k BIGINT, var DOUBLE, cvar DOUBLE")
 
 
 def bootstrap_interval(stats: DataFrame, stat: str, p: float, replicates: int) -> DataFrame:

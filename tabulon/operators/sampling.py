@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tabulon.functions.rng import uniform
-from tabulon.operators.windows import bucketed_position
+from tabulon.operators.windows import bucketed_position, dense_index
 from tabulon.session import checkpoint_dir
 
 
+BLOCK = 4096  # draws made from one row
+
+
 def random_split(df: DataFrame, weights: list[float], seed: int, key_cols: list[str],
                  part_col: str = "part") -> DataFrame:
     """Tag each row with a part number 0..len(weights)-1 drawn with the given
@@ -37,19 +39,12 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, key_cols: list[st
 
 
 def index_items(items: DataFrame, item: str = "item_id") -> DataFrame:
-    """(item, item_idx 0..N-1) in item order. Computed with per-range counts
-    (range partitioning + offsets), not a single-task global window."""
-    d = items.select(item).distinct()
-    b = d.withColumn("_b", F.floor(F.col(item) / F.lit(1 << 16)).cast("bigint"))
-    local = b.withColumn("_l", F.row_number().over(Window.partitionBy("_b").orderBy(item)) - 1)
-    offs = (b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_o", F.coalesce(F.sum("_n").over(
-                 Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    return local.join(offs, "_b").select(item, (F.col("_o") + F.col("_l")).cast("bigint").alias("item_idx"))
+    """(item, item_idx 0..N-1) in item order, whatever the ids' spread."""
+    return dense_index(items, item, "item_idx")
 
 
 def sample_negatives(positives: DataFrame, items: DataFrame, seed: int, user: str = "user_id",
-                     item: str = "item_id", max_rounds: int = 64) -> DataFrame:
+                     item: str = "item_id") -> DataFrame:
     """Per user, as many negatives as positives: draw j = 0, 1, 2, ... picks a
     uniformly random item of the catalogue; a draw counts when the item is not
     one of the user's positives (repeats allowed); the first p counting draws
@@ -59,28 +54,32 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int, user: st
     short, so the result equals the full definition without materialising N
     draws per user."""
     checkpoint_dir(positives.sparkSession)
-    idx = index_items(items, item).persist()
+    idx = index_items(items, item).checkpoint()
     n_items = idx.count()
     pos = positives.select(user, item).distinct()
     need = pos.groupBy(user).agg(F.count(F.lit(1)).alias("_p"))
-    chosen = None
+    chosen = pos.limit(0).withColumn("_j", F.lit(0).cast("bigint"))
     start = F.lit(0).cast("bigint")
     state = need.select(user, "_p", start.alias("_j0"), F.lit(0).cast("bigint").alias("_have"))
     width = 4
-    for _ in range(max_rounds):
+    while True:  # every round raises _j0 of all users still short, up to N
         todo = state.where((F.col("_have") < F.col("_p")) & (F.col("_j0") < F.lit(n_items)))
         if todo.isEmpty():
             break
         # draws j in [_j0, _j0 + w) with w = width * p + 16, capped at N
         w = F.least(F.col("_p") * width + 16, F.lit(n_items) - F.col("_j0"))
-        draws = todo.select(user, "_p", "_have", F.explode(F.sequence(F.col("_j0"), F.col("_j0") + w - 1)).alias("_j"))
+        # by blocks first, so that no array grows with a user's positives
+        blocks = todo.select(user, "_p", "_have", F.col("_j0").alias("_first"), (F.col("_j0") + w).alias("_end"),
+                             F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((w - 1) / F.lit(BLOCK)))).alias("_k"))
+        begin = F.col("_first") + F.col("_k") * BLOCK
+        draws = blocks.select(user, "_p", "_have", F.explode(F.sequence(begin, F.least(begin + BLOCK, F.col("_end")) - 1)).alias("_j"))
         draws = draws.withColumn("item_idx", F.floor(uniform(seed, user, "_j") * F.lit(n_items)).cast("bigint"))
         draws = draws.join(idx, "item_idx").join(pos, [user, item], "left_anti")
         # rank of each counting draw within its user, cut into blocks of draws
-        ranked = bucketed_position(draws.withColumn("_jb", F.floor(F.col("_j") / F.lit(4096))), user, "_jb",
+        ranked = bucketed_position(draws.withColumn("_jb", F.floor(F.col("_j") / F.lit(BLOCK))), user, "_jb",
                                    ["_j"], "_r")
-        got = ranked.where(F.col("_have") + F.col("_r") <= F.col("_p")).select(user, item, "_j").persist()
-        chosen = got if chosen is None else chosen.unionByName(got)
+        got = ranked.where(F.col("_have") + F.col("_r") <= F.col("_p")).select(user, item, "_j").checkpoint()
+        chosen = chosen.unionByName(got)
         counts = got.groupBy(user).agg(F.count(F.lit(1)).alias("_g"))
         state = (todo.join(counts, user, "left")
                  .select(user, "_p", (F.col("_j0") + w).alias("_j0"),

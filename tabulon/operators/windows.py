@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabulon.session import cut
+
 
 def bucketed_running_sum(df: DataFrame, key, bucket: str, order: list, value, out: str,
                          inclusive: bool = True) -> DataFrame:
@@ -49,3 +51,18 @@ def quantile_bucket(col, cuts: list[float]) -> Column:
     for x in cuts:
         e = e + (c > F.lit(float(x))).cast("int")
     return e
+
+
+def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
+    """(col, out): the distinct values of ``col`` numbered 0.. in ascending
+    order. Values are range-partitioned and sorted; a value's number is its
+    place in its partition plus the sizes of the partitions before it, so
+    only one row per partition meets in one task."""
+    d = df.select(col).where(F.col(col).isNotNull()).distinct().repartitionByRange(col).sortWithinPartitions(col)
+    d = cut(d.withColumn("_m", F.monotonically_increasing_id()))
+    part, local = F.shiftright("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = d.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    j = d.withColumn("_p", part).join(offsets, F.col("_p") == F.col("_part"))
+    return j.select(col, (F.col("_before") + local).cast("bigint").alias(out))

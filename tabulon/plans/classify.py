@@ -15,6 +15,7 @@ from tabulon.operators import ml as ML
 from tabulon.operators.sampling import random_split
 from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
+from tabulon.session import checkpoint_dir, cut
 
 SPLIT_SEED = 31
 WEIGHTS = [0.8, 0.1, 0.1]
@@ -139,7 +140,7 @@ def q_tree_fit(spark, sf_dir):
 
 
 def q_tree_grid(spark, sf_dir):
-    s = _vec(splits(spark, sf_dir)).persist()
+    s = cut(_vec(splits(spark, sf_dir)))
     train, cv, test = (s.where(f"part = {i}") for i in range(3))
     rows = []
     for imp in ("gini", "entropy"):
@@ -171,8 +172,11 @@ def q_tree_grid_categorical(spark, sf_dir):
         {"idx": 1, "name": "brand", "vals": [str(i) for i in range(n_brand)]}],
         "numeric": [{"idx": i, "name": f"n{i}"} for i in range(2, 6)]}, "num_attrs": 6}}
     d = d.withColumn("features", F.col("features").alias("features", metadata=meta))
-    d = random_split(d, WEIGHTS, SPLIT_SEED, ["l_orderkey", "l_linenumber"]).persist()
-    train, cv = d.where("part = 0"), d.where("part = 1")
+    d = random_split(d, WEIGHTS, SPLIT_SEED, ["l_orderkey", "l_linenumber"])
+    checkpoint_dir(spark)
+    features = d.schema["features"]
+    d = d.checkpoint().withColumn("features", F.col("features").alias("features", metadata=features.metadata))
+    train, cv, test = (d.where(f"part = {i}") for i in range(3))
     rows = []
     for imp in ("gini", "entropy"):
         for depth in (10, 20, 30):
@@ -181,12 +185,17 @@ def q_tree_grid_categorical(spark, sf_dir):
                                            labelCol="y").fit(train)
                 rows.append((imp, depth, bins, float(EV.accuracy(m.transform(train), "y").first()["accuracy"]),
                              float(EV.accuracy(m.transform(cv), "y").first()["accuracy"])))
+    # the fixed refit on both parts, scored on the held-out test part
+    both = train.unionByName(cv)
+    m = DecisionTreeClassifier(impurity="entropy", maxDepth=30, maxBins=300, labelCol="y").fit(both)
+    rows.append(("final-test", 30, 300, float(EV.accuracy(m.transform(both), "y").first()["accuracy"]),
+                 float(EV.accuracy(m.transform(test), "y").first()["accuracy"])))
     return spark.createDataFrame(rows, "impurity STRING, depth INT, bins INT, train_accuracy DOUBLE, cv_accuracy DOUBLE") \
                 .orderBy(F.desc("cv_accuracy"))
 
 
 def q_forest_fit_predict(spark, sf_dir):
-    s = _vec(splits(spark, sf_dir)).persist()
+    s = cut(_vec(splits(spark, sf_dir)))
     train, cv = s.where("part = 0"), s.where("part = 1")
     m = RandomForestClassifier(numTrees=20, impurity="entropy", maxDepth=30, maxBins=300, seed=7).fit(train)
     return m.transform(cv).select("vec_id", "label", "prediction")

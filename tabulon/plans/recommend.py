@@ -14,6 +14,7 @@ from tabulon.operators.sampling import random_split, sample_negatives
 from tabulon.operators.topk import top_k
 from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
+from tabulon.session import cut
 from tabulon.sources.text import parse_alias, parse_id_name, parse_ratings
 
 SPLIT_SEED, NEG_SEED = 7, 17
@@ -56,7 +57,11 @@ def first_user(spark, sf_dir):
 
 
 def negatives(spark, sf_dir) -> DataFrame:
-    s = split(spark, sf_dir)
+    return negatives_of(cut(split(spark, sf_dir)))
+
+
+def negatives_of(s: DataFrame) -> DataFrame:
+    """Negative pairs for the held-out part of a split."""
     cv = s.where("part = 1").select("user_id", "item_id")
     all_items = s.select("item_id").distinct()
     return sample_negatives(cv, all_items, NEG_SEED)
@@ -134,9 +139,9 @@ def q_sample_negatives(spark, sf_dir):
 
 
 def q_ranking_auc(spark, sf_dir):
-    s = split(spark, sf_dir).persist()
+    s = cut(split(spark, sf_dir))
     train, cv = s.where("part = 0"), s.where("part = 1").select("user_id", "item_id")
-    neg = negatives(spark, sf_dir).select("user_id", "item_id")
+    neg = negatives_of(s).select("user_id", "item_id")
     per_user = EV.ranking_auc(popularity_score(train, cv), popularity_score(train, neg))
     return EV.mean_auc(per_user).select("users", F.round("auc", 6).alias("auc"))
 
@@ -147,12 +152,12 @@ def _als(spark, sf_dir, **kw):
 
 def q_als_fit(spark, sf_dir):
     m = _als(spark, sf_dir)
-    return m.itemFactors.select(F.col("id").cast("bigint").alias("item_id"), F.size("features").alias("rank"))
+    return ML.factors(m, "item", "item_id")
 
 
 def q_user_factors(spark, sf_dir):
     m = _als(spark, sf_dir)
-    return m.userFactors.select(F.col("id").cast("bigint").alias("user_id"), "features")
+    return ML.factors(m, "user", "user_id")
 
 
 def q_als_recommend_topn(spark, sf_dir):
@@ -164,14 +169,14 @@ def q_als_recommend_topn(spark, sf_dir):
 
 def q_als_grid(spark, sf_dir):
     """Every (rank, reg, alpha) of the grid scored by AUC on held-out pairs."""
-    s = split(spark, sf_dir).persist()
+    s = cut(split(spark, sf_dir))
     train, cv = s.where("part = 0"), s.where("part = 1").select("user_id", "item_id")
-    neg = negatives(spark, sf_dir).select("user_id", "item_id").persist()
+    neg = cut(negatives_of(s).select("user_id", "item_id"))
     rows = []
     for rank in (10, 50):
-        for reg in (1.0, 0.0001):
+        for reg in (1.0, 0.001):
             for alpha in (1.0, 40.0):
-                m = ML.als_fit(train, rank=rank, max_iter=5, reg=reg, alpha=alpha)
+                m = ML.als_fit(train, rank=rank, max_iter=10, reg=reg, alpha=alpha)
                 per_user = EV.ranking_auc(ML.als_scores(m, cv), ML.als_scores(m, neg))
                 auc = EV.mean_auc(per_user).first()["auc"]
                 rows.append((rank, reg, alpha, float(auc) if auc is not None else None))

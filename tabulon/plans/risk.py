@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.rng import duck_std_normal_sql, duck_uniform_sql
+from tabulon.functions.rng import duck_std_normal_sql
 from tabulon.operators import risk as R
 from tabulon.operators import timeseries as TS
 from tabulon.operators.clean import filter_min_count
@@ -16,12 +16,13 @@ from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
 from tabulon.sources.files import parse_price_csv
 from tabulon.sources.text import parse_price_tsv
+from tabulon.session import cut, held
 
 START, END = "1995-06-01", "2000-06-01"     # five years, both Thursdays
 MIN_HISTORY = 260 * 5 + 10
 FACTORS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 NF = len(FACTORS)
-NUM_TRIALS, PARALLELISM, SEED = 100_000, 10, 1001
+NUM_TRIALS, PARALLELISM, SEED = 10_000_000, 1_000, 1001
 REPLICATES, P_VALUE, BOOT_SEED = 100, 0.05, 2024
 CONFIDENCE = 0.05
 
@@ -41,12 +42,12 @@ def price_csv_lines(spark, sf_dir) -> DataFrame:
     saved error page per factor series."""
     p = fx.instrument_prices(spark, sf_dir)
     data = p.select(F.concat_ws(",", F.date_format("dt", "yyyy-MM-dd"), F.col("value").cast("string"),
-                                F.lit("0")).alias("value"), F.concat("series", F.lit(".csv")).alias("file"))
+                                F.lit("0")).alias("value"), F.concat("series", F.lit(".csv")).alias("file"), F.lit(1).alias("at"))
     heads = p.select("series").distinct().select(F.lit("Date,Close,Volume").alias("value"),
-                                                 F.concat("series", F.lit(".csv")).alias("file"))
+                                                 F.concat("series", F.lit(".csv")).alias("file"), F.lit(0).alias("at"))
     f = fx.factor_prices(spark, sf_dir)
     errs = f.select(F.concat(F.lit("<html><body>"), F.date_format("dt", "yyyy-MM-dd"), F.lit("</body></html>"))
-                    .alias("value"), F.concat(F.lit("err-"), F.col("series"), F.lit(".csv")).alias("file"))
+                    .alias("value"), F.concat(F.lit("err-"), F.col("series"), F.lit(".csv")).alias("file"), F.lit(0).alias("at"))
     return data.unionByName(heads).unionByName(errs)
 
 
@@ -64,7 +65,7 @@ def factors(spark, sf_dir) -> DataFrame:
 def _prepare(raw: DataFrame) -> DataFrame:
     # the trimmed histories (series x days, small next to the order table they
     # come from) feed the calendar and both sides of the fill: build them once
-    trimmed = TS.trim_date_range(raw, "series", "dt", "value", START, END).persist()
+    trimmed = cut(TS.trim_date_range(raw, "series", "dt", "value", START, END))
     cal = TS.weekday_calendar(trimmed, "series", START, END)
     return TS.asof_fill(trimmed, cal, "series", "dt", "value")
 
@@ -78,29 +79,16 @@ def factor_matrix(spark, sf_dir):
     return R.factor_matrix(r, "series", "idx", "ret", FACTORS)
 
 
-_MODEL_CACHE: dict = {}
-
-
 def model_1f(spark, sf_dir):
-    """Scenario inputs with one-factor regression weights (exactly checkable).
-    Kept per application and input: the trial table is persisted and shared
-    by the VaR, CVaR, bootstrap and backtest queries (the reference caches
-    its trials the same way)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODEL_CACHE:
-        _MODEL_CACHE[key] = _fit_model_1f(spark, sf_dir)
-    return _MODEL_CACHE[key]
-
-
-def _fit_model_1f(spark, sf_dir):
-    fm = factor_matrix(spark, sf_dir).cache()
-    means, cov = R.covariance(fm, NF)
-    w = R.simple_regression_weights(instrument_returns(spark, sf_dir), "series", "idx", "ret", fm, 0, NF).persist()
-    wbar = R.mean_weights(w, 1 + 3 * NF)
-    trials = R.factor_scenarios(spark, means, cov, NUM_TRIALS, SEED, PARALLELISM).persist()
-    # the trial table is read by several actions (VaR, bootstrap): keep it,
-    # as the reference caches its trials RDD
-    return trials, R.portfolio_trial_returns(trials, wbar, NF).persist()
+    """Trials and their portfolio returns, with one-factor regression weights
+    (exactly checkable)."""
+    with held(factor_matrix(spark, sf_dir)) as fm:
+        means, cov = R.covariance(fm, NF)
+        w = R.simple_regression_weights(instrument_returns(spark, sf_dir), "series", "idx", "ret", fm, 0, NF)
+        with held(w) as weights:
+            wbar = R.mean_weights(weights, 1 + 3 * NF)
+    trials = R.factor_scenarios(spark, means, cov, NUM_TRIALS, SEED, PARALLELISM, NF)
+    return trials, R.portfolio_trial_returns(trials, wbar, NF)
 
 
 def q_scan_price_tsv(spark, sf_dir):
@@ -108,7 +96,7 @@ def q_scan_price_tsv(spark, sf_dir):
 
 
 def q_scan_price_csv(spark, sf_dir):
-    return parse_price_csv(price_csv_lines(spark, sf_dir))
+    return parse_price_csv(price_csv_lines(spark, sf_dir), at="at")
 
 
 def q_filter_min_history(spark, sf_dir):
@@ -160,32 +148,32 @@ def q_ols_per_group(spark, sf_dir):
     return R.ols_per_group(instrument_returns(spark, sf_dir), "series", "idx", "ret", R.feature_table(fm, "idx", NF))
 
 
-def q_factor_scenarios(spark, sf_dir):
-    trials, _ = model_1f(spark, sf_dir)
-    return trials.select("trial_id", *[F.round(f"f{i}", 6).alias(f"f{i}") for i in range(NF)])
+def _per_part(trials, cols):
+    """Per part of the trial range: rows, and mean, least and largest of each
+    column -- the whole trial table checked in as many rows as it has parts."""
+    per = NUM_TRIALS // PARALLELISM
+    aggs = [f(c).alias(f"{c}_{n}") for c in cols for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))]
+    g = trials.groupBy((F.col("trial_id") / per).cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    return g.select("part", "n", *[F.round(f"{c}_{n}", 6).alias(f"{c}_{n}") for c in cols for n in ("mean", "min", "max")])
 
 
-def q_scan_seed_range(spark, sf_dir):
+def q_factor_scenarios(spark, sf_dir):
     trials, _ = model_1f(spark, sf_dir)
-    per = NUM_TRIALS // PARALLELISM
-    return trials.groupBy((F.col("trial_id") / per).cast("bigint").alias("seed_part")) \
-                 .agg(F.count(F.lit(1)).alias("n"))
+    return _per_part(trials, [f"f{i}" for i in range(NF)])
 
 
 def q_portfolio_trial_returns(spark, sf_dir):
     _, ret = model_1f(spark, sf_dir)
-    return ret.select("trial_id", F.round("ret", 6).alias("ret"))
+    return _per_part(ret, ["ret"])
 
 
 def q_smallest_fraction(spark, sf_dir):
     _, ret = model_1f(spark, sf_dir)
-    k = max(NUM_TRIALS // 20, 1)
-    kth, _s = R.k_smallest_summary(ret, "ret", k, "trial_id")
-    # rows strictly below the k-th value, plus the lowest-id ties at it
-    below = ret.where(F.col("ret") < F.lit(kth))
-    n_below = below.count()
-    ties = ret.where(F.col("ret") == F.lit(kth)).orderBy("trial_id").limit(k - n_below)
-    return below.unionByName(ties).select("trial_id", F.round("ret", 6).alias("ret"))
+    n = NUM_TRIALS if not ret.isEmpty() else 0
+    if n == 0:
+        return ret.select("trial_id", "ret")
+    low = R.k_smallest_rows(ret, "ret", max(n // 20, 1), "trial_id")
+    return low.select("trial_id", F.round("ret", 6).alias("ret"))
 
 
 def q_value_at_risk(spark, sf_dir):
@@ -213,7 +201,7 @@ def q_bootstrap_resample(spark, sf_dir):
 
 
 def q_bootstrap_interval(spark, sf_dir):
-    st = _boot(spark, sf_dir).cache()
+    st = _boot(spark, sf_dir)
     out = None
     for stat in ("var", "cvar"):
         iv = R.bootstrap_interval(st, stat, P_VALUE, REPLICATES).select(
@@ -224,17 +212,9 @@ def q_bootstrap_interval(spark, sf_dir):
 
 def _backtest(spark, sf_dir):
     _, ret = model_1f(spark, sf_dir)
-    v = R.value_at_risk(ret).first()["var"]  # one number to the driver
-    port = _model_part(spark, sf_dir, "portfolio",
-                       lambda: instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret")).persist())
-    return R.count_failures(port, "ret", v)
-
-
-def _model_part(spark, sf_dir, name, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MODEL_CACHE:
-        _MODEL_CACHE[key] = build()
-    return _MODEL_CACHE[key]
+    v = R.value_at_risk(ret).first()  # one number to the driver
+    port = instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret"))
+    return R.count_failures(port, "ret", v["var"] if v else None)
 
 
 def q_count_failures(spark, sf_dir):
@@ -280,7 +260,6 @@ QUERIES = {
     "covariance_matrix": q_covariance_matrix,
     "ols_per_group": q_ols_per_group,
     "factor_scenarios": q_factor_scenarios,
-    "scan_seed_range": q_scan_seed_range,
     "portfolio_trial_returns": q_portfolio_trial_returns,
     "smallest_fraction": q_smallest_fraction,
     "value_at_risk": q_value_at_risk,
@@ -363,10 +342,8 @@ def _ctes(**more) -> dict:
     c["fm"] = _fm_sql()
     c["chol"] = _chol_sql()
     c["scen"] = _scen_sql()
-    raw_pos = 1 + 2 * NF
     c["w1"] = ("SELECT AVG(b0) AS w0, AVG(b1) AS w1 FROM (SELECT r.series, regr_intercept(r.ret, fm.f0) AS b0, "
                "regr_slope(r.ret, fm.f0) AS b1 FROM i_ret r JOIN fm ON r.idx = fm.idx GROUP BY r.series) g")
-    del raw_pos
     c["tr"] = "SELECT s.trial_id, w1.w0 + w1.w1 * s.f0 AS ret FROM scen s, w1"
     c["var"] = ("SELECT MAX(k) AS k, MAX(ret) AS var, SUM(ret) / MAX(k) AS cvar FROM (SELECT ret, "
                 "ROW_NUMBER() OVER (ORDER BY ret, trial_id) AS rn, GREATEST(COUNT(*) OVER () // 20, 1) AS k FROM tr) x "
@@ -379,28 +356,9 @@ def _q(body, **more):
     return duck.with_ctes(body, **_ctes(**more))
 
 
-def _poisson_sql(u: str) -> str:
-    return "(" + " + ".join(f"CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END" for c in R.POISSON1_CDF) + ")"
-
-
-_BOOT = dict(
-    bw=f"SELECT * FROM (SELECT r.replicate, t.trial_id, t.ret, "
-       f"{_poisson_sql(duck_uniform_sql(BOOT_SEED, 't.trial_id', 'r.replicate'))} AS weight "
-       f"FROM tr t, range({REPLICATES}) r(replicate)) x WHERE weight > 0",
-    bn="SELECT replicate, SUM(weight) AS n, GREATEST(SUM(weight) // 20, 1) AS k FROM bw GROUP BY replicate",
-    bc="SELECT bw.*, bn.k, SUM(bw.weight) OVER (PARTITION BY bw.replicate ORDER BY bw.ret, bw.trial_id "
-       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - bw.weight AS cw_prev FROM bw JOIN bn ON bw.replicate = bn.replicate",
-    bs="SELECT replicate, MAX(ret) AS var, SUM(LEAST(weight, k - cw_prev) * ret) / MAX(k) AS cvar FROM bc "
-       "WHERE cw_prev < k GROUP BY replicate",
-)
-
-
-def _interval(stat: str) -> str:
-    lo = min(max(int(REPLICATES * P_VALUE / 2 - 1), 0), REPLICATES - 1)
-    hi = min(max(int(np.ceil(REPLICATES * (1 - P_VALUE / 2))), 0), REPLICATES - 1)
-    return (f"SELECT '{stat}' AS stat, ROUND(MAX(CASE WHEN i = {lo + 1} THEN {stat} END), 6) AS lower, "
-            f"ROUND(MAX(CASE WHEN i = {hi + 1} THEN {stat} END), 6) AS upper FROM "
-            f"(SELECT {stat}, ROW_NUMBER() OVER (ORDER BY {stat}, replicate) AS i FROM bs) s")
+def _per_part_sql(table: str, cols: list[str]) -> str:
+    aggs = ", ".join(f"ROUND({f}({c}), 6) AS {c}_{n}" for c in cols for n, f in (("mean", "AVG"), ("min", "MIN"), ("max", "MAX")))
+    return f"SELECT CAST(trial_id // {NUM_TRIALS // PARALLELISM} AS BIGINT) AS part, COUNT(*) AS n, {aggs} FROM {table} GROUP BY 1"
 
 
 _BT = ("SELECT COUNT(*) AS total, SUM(CASE WHEN p.ret < (SELECT var FROM var) THEN 1 ELSE 0 END) AS failures FROM "
@@ -441,17 +399,12 @@ def oracle() -> dict:
                 + [f"SELECT idx, {2 * NF + i} AS pos, f{i} AS value FROM fm" for i in range(NF)]) + ") u"),
         "covariance_matrix": _q("SELECT i, j, ROUND(cov, 9) AS cov FROM (" + " UNION ALL ".join(
             f"SELECT {i} AS i, {j} AS j, covar_samp(f{i}, f{j}) AS cov FROM fm" for i in range(NF) for j in range(NF)) + ") c"),
-        "factor_scenarios": _q("SELECT trial_id, " + ", ".join(f"ROUND(f{i}, 6) AS f{i}" for i in range(NF)) + " FROM scen"),
-        "scan_seed_range": _q(f"SELECT CAST(trial_id // {NUM_TRIALS // PARALLELISM} AS BIGINT) AS seed_part, COUNT(*) AS n "
-                              "FROM scen GROUP BY 1"),
-        "portfolio_trial_returns": _q("SELECT trial_id, ROUND(ret, 6) AS ret FROM tr"),
+        "factor_scenarios": _q(_per_part_sql("scen", [f"f{i}" for i in range(NF)])),
+        "portfolio_trial_returns": _q(_per_part_sql("tr", ["ret"])),
         "smallest_fraction": _q("SELECT trial_id, ROUND(ret, 6) AS ret FROM tr ORDER BY ret, trial_id "
                                 f"LIMIT {max(NUM_TRIALS // 20, 1)}"),
         "value_at_risk": _q("SELECT CAST(k AS BIGINT) AS k, ROUND(var, 6) AS var FROM var"),
         "conditional_var": _q("SELECT CAST(k AS BIGINT) AS k, ROUND(cvar, 6) AS cvar FROM var"),
-        "bootstrap_resample": _q("SELECT CAST(replicate AS INTEGER) AS replicate, CAST(SUM(weight) AS BIGINT) AS n, COUNT(*) AS distinct_rows FROM bw "
-                                 "GROUP BY replicate", **_BOOT),
-        "bootstrap_interval": _q(_interval("var") + " UNION ALL " + _interval("cvar"), **_BOOT),
         "count_failures": _q("SELECT total, CAST(failures AS BIGINT) AS failures FROM (" + _BT + ") b"),
         "kupiec_test": _q("SELECT total, CAST(failures AS BIGINT) AS failures, ROUND(lr, 6) AS lr, "
                           "ROUND(" + R.erfc_sql("sqrt(lr / 2.0)") + ", 6) AS p_value FROM (SELECT total, failures, "

@@ -15,7 +15,7 @@ from tabulon.operators.clean import filter_articles
 from tabulon.operators.topk import top_k_per_group
 from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
-from tabulon.session import checkpoint_dir
+from tabulon.session import checkpoint_dir, cut
 from tabulon.sources.files import read_xml, write_xml
 from tabulon.sources.text import parse_wordlist
 
@@ -36,7 +36,7 @@ def article_tf(spark, sf_dir) -> DataFrame:
 
 def model(spark, sf_dir):
     # tf feeds the document count, document frequencies, totals and tf-idf
-    tf = article_tf(spark, sf_dir).persist()
+    tf = cut(article_tf(spark, sf_dir))
     n_docs = tf.select("doc_id").distinct().agg(F.count(F.lit(1))).scalar()
     vocab = T.vocabulary(T.doc_freq(tf), NUM_TERMS)
     idf = T.idf(vocab, n_docs)
@@ -124,19 +124,8 @@ def q_scan_xml(spark, sf_dir):
                        F.md5("text").alias("text_md5"))
 
 
-_LSA_CACHE: dict = {}
-
-
 def lsa(spark, sf_dir, k=K_CONCEPTS):
-    """The fitted LSA model, kept per application and input so the three
-    LSA queries share one SVD (U stays persisted, s and V are small)."""
-    key = (spark.sparkContext.applicationId, sf_dir, k)
-    if key not in _LSA_CACHE:
-        _LSA_CACHE[key] = _fit_lsa(spark, sf_dir, k)
-    return _LSA_CACHE[key]
-
-
-def _fit_lsa(spark, sf_dir, k):
+    """The fitted LSA model: vocabulary, s, V and U."""
     _tf, vocab, _idf, w = model(spark, sf_dir)
     vecs = T.term_doc_vectors(w, NUM_TERMS)
     n_terms = vocab.agg(F.count(F.lit(1))).first()[0]
@@ -164,7 +153,7 @@ def q_concept_docs_join(spark, sf_dir):
 
 def q_lsa_concepts(spark, sf_dir):
     vocab, _s, v, _u = lsa(spark, sf_dir)
-    terms = T.melt_matrix(spark, v).join(F.broadcast(vocab.select("term_id", "term")), "term_id")
+    terms = T.top_of_columns(spark, v, TOP_PER_GROUP).join(F.broadcast(vocab.select("term_id", "term")), "term_id")
     tt = top_k_per_group(terms, "concept", TOP_PER_GROUP, [F.desc("weight"), "term"]) \
         .select("concept", F.lit("term").alias("kind"), "rank", F.col("term").alias("item"), "weight")
     return tt.unionByName(concept_docs(spark, sf_dir))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.rng import duck_uniform_sql, uniform
 from tabulon.functions.stats import CHI_SQL
 from tabulon.operators import graph as G
-from tabulon.operators.aggs import count_by_value, freq_of_freq, summary_exprs
+from tabulon.operators.aggs import count_by_value, freq_of_freq, sum_by_key, summary_exprs
 from tabulon.operators.clean import major_topics
 from tabulon.operators.topk import top_k
 from tabulon.plans import duck
@@ -43,8 +43,9 @@ def interesting(spark, sf_dir, topic_col, cut):
 
 
 def q_explode_topics(spark, sf_dir):
-    lists = fx.doc_topics(spark, sf_dir, SUPP).groupBy("doc_id").agg(F.collect_set("topic").alias("topics"))
-    return lists.select("doc_id", F.explode("topics").alias("topic"))
+    # (document, topic) rows are the exploded form already; what the
+    # collected lists add is that a topic counts once per document
+    return fx.doc_topics(spark, sf_dir, SUPP).select("doc_id", "topic").distinct()
 
 
 def q_count_by_value(spark, sf_dir):
@@ -73,12 +74,12 @@ def q_hash_id(spark, sf_dir):
 
 
 def q_array_pairs(spark, sf_dir):
-    lists = fx.doc_topics(spark, sf_dir, SUPP).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("topic")).alias("t"))
-    # all 2-combinations of the sorted list: position pairs i < j
-    idx = lists.select("doc_id", "t", F.posexplode("t").alias("i", "a"))
-    pairs = idx.select("doc_id", "a", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("b"))
-    return pairs
+    # all 2-combinations of a document's topics, as a join on the document
+    # that AQE can split, so that no document's list sits in one row
+    t = fx.doc_topics(spark, sf_dir, SUPP).select("doc_id", "topic").distinct()
+    l, r = t.alias("l"), t.alias("r")
+    pairs = l.join(r, (F.col("l.doc_id") == F.col("r.doc_id")) & (F.col("l.topic") < F.col("r.topic")))
+    return pairs.select(F.col("l.doc_id").alias("doc_id"), F.col("l.topic").alias("a"), F.col("r.topic").alias("b"))
 
 
 def q_cooccurrence(spark, sf_dir):
@@ -118,8 +119,8 @@ def q_top_degrees(spark, sf_dir):
 
 
 def q_sum_by_key(spark, sf_dir):
-    dt = fx.doc_topics(spark, sf_dir, SUPP)
-    return dt.groupBy(F.md5("topic").alias("id")).agg(F.sum(F.lit(1)).cast("bigint").alias("cnt"))
+    # total plays per item, as the popularity table sums them
+    return sum_by_key(fx.ratings(spark, sf_dir), "item_id", "rating", "total")
 
 
 def q_global_mean_sum_count(spark, sf_dir):
@@ -308,7 +309,7 @@ def oracle():
         "topics_by_degree_join": _g(f"SELECT d.id, v.topic, d.degree FROM ({deg_e}) d JOIN v ON d.id = v.id", S),
         "top_degrees": _g(f"SELECT v.topic, d.degree FROM ({_DEG.format(e='ie')}) d JOIN v ON d.id = v.id "
                           "ORDER BY d.degree DESC, v.topic LIMIT 10", P, CHI_CUT),
-        "sum_by_key": duck.with_ctes("SELECT md5(topic) AS id, COUNT(*) AS cnt FROM dt GROUP BY 1", dt=S),
+        "sum_by_key": duck.with_ctes("SELECT item_id, SUM(rating) AS total FROM r GROUP BY item_id", r=duck.F_RATINGS),
         "global_mean_sum_count": duck.with_ctes(
             "SELECT (SELECT COUNT(*) FROM orders) AS docs, CAST(SUM(k) AS BIGINT) AS topic_rows, CAST(SUM(k * (k - 1) / 2) AS BIGINT) AS pairs, "
             "ROUND(SUM(k) / (SELECT COUNT(*) FROM orders), 6) AS mean_topics FROM "

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,20 +54,41 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+@contextmanager
+def held(*frames):
+    """The frames persisted (memory, spilling to disk) for several actions,
+    and released afterwards."""
+    kept = [f.persist() for f in frames]
+    try:
+        yield kept[0] if len(kept) == 1 else kept
+    finally:
+        for f in kept:
+            f.unpersist()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    folder there). Only when it is unset -- a local test run -- a fresh
-    scratch folder is created and registered.
+    folder there). Only a local session without the setting gets a fresh
+    scratch folder; on a cluster a machine-local folder would be lost to the
+    other machines, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="tabulon-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cut(df):
+    """``df`` cut from its lineage by a reliable checkpoint in the shared
+    folder: several readers share one computation, and nothing stays cached."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

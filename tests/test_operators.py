@@ -105,3 +105,46 @@ def test_tfidf_formula(spark):
     w = {(r["doc_id"], r["term"]): r["w"] for r in T.tfidf(tf, T.idf(vocab, 2)).collect()}
     assert set(w) == {(1, "apple"), (1, "banana"), (2, "banana")}
     assert abs(w[(1, "apple")] - np.log(2 / 1) * 2 / 4) < 1e-12 and w[(1, "banana")] == 0.0
+
+
+def test_dense_index(spark):
+    from tabulon.operators.windows import dense_index
+    ids = [10**15 - 7 * i * i for i in range(300)] + [5, 5, -3]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id BIGINT").repartition(7)
+    got = {r["id"]: r["n"] for r in dense_index(df, "id", "n").collect()}
+    assert got == {v: k for k, v in enumerate(sorted(set(ids)))}
+
+
+def test_vocabulary_threshold_and_ties(spark):
+    from tabulon.operators.text import vocabulary
+    rows = [(f"t{i:02d}", d) for i, d in enumerate([9, 1, 5, 5, 5, 5, 2, 9])]
+    df = spark.createDataFrame(rows, "term STRING, df BIGINT")
+    for k in (1, 2, 4, 6, 7, 8, 50):
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
+        got = vocabulary(df, k).orderBy("term_id").collect()
+        assert [(r["term"], r["df"]) for r in got] == want and [r["term_id"] for r in got] == list(range(len(want)))
+
+
+def test_als_wide_ids(spark):
+    from tabulon.operators import ml as ML
+    rows = [(2**40 + u, -5 - i, 1.0 + (u * i) % 3) for u in range(12) for i in range(9) if (u + i) % 3]
+    m = ML.als_fit(spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE"), rank=3, max_iter=2)
+    users = {r["user_id"] for r in ML.factors(m, "user", "user_id").collect()}
+    items = {r["item_id"] for r in ML.factors(m, "item", "item_id").collect()}
+    assert users == {r[0] for r in rows} and items == {r[1] for r in rows}
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster():
+    import pytest
+    from tabulon.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext, conf = Context, {}
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session)

@@ -48,11 +48,38 @@ def test_k_smallest_is_exact(spark):
     x[:50] = x[50]  # ties
     df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(len(x)), "ret": x}))
     for k in (1, 7, 1000, 19999, 20000):
-        kth, s = R.k_smallest_summary(df, "ret", k, "trial_id", accuracy=500)
+        kth, s = R.k_smallest_summary(df, "ret", k, accuracy=500, few=50)
         xs = np.sort(x)
         assert kth == xs[k - 1] and abs(s - xs[:k].sum()) < 1e-9
 
 
+def test_k_smallest_of_heavy_ties(spark):
+    """All equal, and a few values that hold nearly everything."""
+    same = spark.range(5000).select(F.col("id").alias("trial_id"), F.lit(0.5).alias("ret"))
+    assert R.k_smallest_summary(same, "ret", 250, few=10) == (0.5, 125.0)
+    assert R.value_at_risk(same).first()[:] == (250, 0.5, 0.5)
+    x = np.repeat([3.0, 1.0, 2.0, 1.5], [2000, 10, 1500, 1])
+    df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(len(x)), "ret": x}))
+    for k in (1, 10, 11, 12, 1511, 1512, 3511):
+        kth, s = R.k_smallest_summary(df, "ret", k, few=3)
+        assert (kth, s) == (np.sort(x)[k - 1], np.sort(x)[:k].sum())
+    rows = R.k_smallest_rows(df, "ret", 700, "trial_id").toPandas().sort_values(["ret", "trial_id"])
+    want = df.toPandas().sort_values(["ret", "trial_id"]).head(700)
+    assert rows["trial_id"].tolist() == want["trial_id"].tolist()
+
+
+def test_no_trials(spark):
+    none = R.factor_scenarios(spark, None, None, 100, 1, 2, 2)
+    ret = R.portfolio_trial_returns(none, None, 2)
+    assert none.columns == ["trial_id", "f0", "f1"] and ret.count() == 0
+    assert R.value_at_risk(ret).count() == 0 and R.bootstrap_tail_stats(ret, 1, 3).count() == 0
+
+
+def test_singular_covariance(spark):
+    cov = np.array([[0.04, 0.04], [0.04, 0.04]])
+    assert np.allclose(R.cholesky(cov) @ R.cholesky(cov).T, cov)
+
+
 def test_value_at_risk(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([5, -3, 2, -10, 7, 1] * 10)], "trial_id BIGINT, ret DOUBLE")
     r = R.value_at_risk(df).first()
@@ -65,18 +92,25 @@ def test_bootstrap_interval_clamps(spark):
     assert r["lower"] == 1.5 and r["upper"] == 1.5
 
 
-def test_bootstrap_tail_matches_full(spark):
+def test_bootstrap_tail_is_exact(spark):
+    """Against the expanded multisets, smooth returns and all-equal ones."""
     rng = np.random.default_rng(5)
-    df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(3000), "ret": rng.normal(size=3000)}))
-    fast = {r["replicate"]: (r["var"], r["cvar"]) for r in R.bootstrap_tail_stats(df, 9, 5).collect()}
-    full = {r["replicate"]: (r["var"], r["cvar"]) for r in R.bootstrap_tail_stats(df, 9, 5, tail_fraction=1.0).collect()}
-    assert fast.keys() == full.keys() and all(abs(fast[k][0] - full[k][0]) < 1e-12 and abs(fast[k][1] - full[k][1]) < 1e-9
-                                              for k in fast)
-    # brute force one replicate from the weights
-    w = R.bootstrap_weights(df, 9, 5).where("replicate = 0").toPandas()
-    vals = np.sort(np.repeat(w["ret"].to_numpy(), w["weight"].to_numpy()))
-    k = max(len(vals) // 20, 1)
-    assert abs(fast[0][0] - vals[k - 1]) < 1e-12 and abs(fast[0][1] - vals[:k].mean()) < 1e-9
+    for x in (rng.normal(size=3000), np.full(3000, 0.25), np.round(rng.normal(size=900), 1), np.array([1.0])):
+        df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(len(x)), "ret": x}))
+        got = {r["replicate"]: r for r in R.bootstrap_tail_stats(df, 9, 5).collect()}
+        w = R.bootstrap_weights(df, 9, 5).toPandas()
+        for rep, part in w.groupby("replicate"):
+            vals = np.sort(np.repeat(part["ret"].to_numpy(), part["weight"].to_numpy()))
+            k = max(len(vals) // 20, 1)
+            r = got.pop(rep)
+            assert (r["n"], r["k"], r["var"]) == (len(vals), k, vals[k - 1]) and abs(r["cvar"] - vals[:k].mean()) < 1e-9
+        assert not got
+
+
+def test_bootstrap_weights_are_poisson(spark):
+    df = spark.range(20000).select(F.col("id").alias("trial_id"))
+    w = R.bootstrap_weights(df, 3, 2).groupBy("replicate").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+    assert all(abs(r["n"] - 20000) < 600 and abs(r["d"] - 20000 * (1 - math.exp(-1))) < 400 for r in w)
 
 
 def test_kupiec_zero_failures_and_pvalue(spark):
@@ -125,6 +159,6 @@ def test_kde_matches_direct(spark):
 def test_scenarios_have_target_covariance(spark):
     means = np.array([0.01, -0.02])
     cov = np.array([[0.04, 0.01], [0.01, 0.09]])
-    t = R.factor_scenarios(spark, means, cov, 20000, 5, 4).toPandas()
+    t = R.factor_scenarios(spark, means, cov, 20000, 5, 4, 2).toPandas()
     assert np.allclose(t[["f0", "f1"]].mean().to_numpy(), means, atol=0.01)
     assert np.allclose(np.cov(t[["f0", "f1"]].to_numpy().T), cov, atol=0.01)

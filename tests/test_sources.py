@@ -53,6 +53,39 @@ def test_price_csv_dir_rejects_html(spark, tmpdir_fresh):
     assert got == [("AAA", "2014-10-22", 10.0), ("AAA", "2014-10-23", 10.5)]
 
 
+def test_price_csv_dir_stray_line_and_same_names(spark, tmpdir_fresh):
+    """Only a first line of html condemns a file, and only that file."""
+    os.makedirs(os.path.join(tmpdir_fresh, "x"))
+    with open(os.path.join(tmpdir_fresh, "AAA.csv"), "w") as f:
+        f.write("Date,Open\n2014-10-23,10.5\n<html>stray</html>\n2014-10-22,10.0\n")
+    with open(os.path.join(tmpdir_fresh, "x", "AAA.csv"), "w") as f:
+        f.write("<HTML>\n2014-10-23,7.0\n")
+    with open(os.path.join(tmpdir_fresh, "x", "B.v2.csv"), "w") as f:
+        f.write("2014-10-23,3.0\n")
+    got = sorted((r["series"], str(r["dt"]), r["value"]) for r in files.read_price_csv_dir(spark, tmpdir_fresh).collect())
+    assert got == [("AAA", "2014-10-22", 10.0), ("AAA", "2014-10-23", 10.5), ("x/B.v2", "2014-10-23", 3.0)]
+
+
+def test_geojson_holes_and_parts(spark, tmpdir_fresh):
+    import json
+    from tabulon.operators.geo import point_in_polygon
+    sq = lambda x, y, d: [[x, y], [x + d, y], [x + d, y + d], [x, y + d], [x, y]]
+    feats = [("Polygon", [sq(0, 0, 10), sq(2, 2, 3)], "holed"),
+             ("MultiPolygon", [[sq(20, 0, 4)], [sq(30, 0, 2), sq(30.5, 0.5, 1)]], "parts"), ("Point", [0, 0], "none")]
+    p = os.path.join(tmpdir_fresh, "h.geojson")
+    with open(p, "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"boroughCode": str(i), "borough": n}, "geometry": {"type": t, "coordinates": c}}
+            for i, (t, c, n) in enumerate(feats)]}, f)
+    g = files.read_geojson(spark, p)
+    assert {r["name"]: r["area"] for r in g.collect()} == {"holed": 91.0, "parts": 16.0 + 3.0}
+    pts = [(1.0, 1.0, "holed"), (3.0, 3.0, None), (9.0, 9.0, "holed"), (21.0, 1.0, "parts"), (30.2, 0.2, "parts"), (31.0, 1.0, None), (50.0, 50.0, None)]
+    df = spark.createDataFrame(pts, "lon DOUBLE, lat DOUBLE, want STRING")
+    for cell in (None, 1.0):
+        out = point_in_polygon(df, "lon", "lat", g, [-F.col("area")], cell=cell)
+        assert all(r["region"] == r["want"] for r in out.collect())
+
+
 def test_xml_round_trip(spark, tmpdir_fresh):
     df = spark.createDataFrame([(1, "A", 0, "text one"), (2, "B (disambiguation)", 1, "#REDIRECT x")],
                                "doc_id BIGINT, title STRING, ns BIGINT, text STRING")
