@@ -330,33 +330,35 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: in
     Rows repeated in full are one text that occurs that many times."""
     back = length - gram_size(length)
     keyed = docs.select(*row_key(doc, text), F.col(text).alias("text"))
-    found = saved(find_anchors(keyed, length))
+    found = find_anchors(keyed, length)
+    # most grams occur once: only anchors of the others go on. The texts are
+    # scanned twice for that, which costs less than storing all anchors
+    many = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    found = saved(found.join(many, "gram", "left_semi"))
     one = [F.first(c).alias(c) for c in ("doc_id", "th", "at")]  # of one row: they are set together
     per_ctx = saved(found.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), *one))
-    per_gram = per_ctx.groupBy("gram").agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_ctx")).where("n_all > 1")
-    per_gram = cut(per_gram)
+    per_gram = cut(per_ctx.groupBy("gram").agg(F.count(F.lit(1)).alias("n_ctx")).where("n_ctx > 1"))
 
-    whole = found.join(small(cut(per_ctx.where("n > 1").select("gram", "ctx")), BROADCAST_ROWS), ["gram", "ctx"], "left_semi")
+    whole = found.join(per_ctx.where("n > 1").select("gram", "ctx"), ["gram", "ctx"], "left_semi")
     whole = whole.select("doc_id", "th", F.greatest(F.col("at") - back, F.lit(0)).alias("s"), (F.col("at") + length).alias("e"))
 
     # different neighbourhoods that share a gram, one row each
-    mixed = small(cut(per_gram.where("n_ctx > 1").select("gram")), BROADCAST_ROWS)
-    edges = per_ctx.join(mixed, "gram", "left_semi").select("doc_id", "th", F.struct(
+    edges = per_ctx.join(per_gram.select("gram"), "gram", "left_semi").select("doc_id", "th", F.struct(
         "at", "gram", F.least("n", F.lit(2)).cast("int").alias("copies")).alias("m"))
     wanted = cut(edges.groupBy("doc_id", "th").agg(F.collect_list("m").alias("list")))
     held = on_key(keyed, small(cut(wanted.select("doc_id", "th")), BROADCAST_ROWS), "left_semi").dropDuplicates(["doc_id", "th"])
-    near = saved(contexts(held, wanted, length))
+    near = contexts(held, wanted, length)
     crowded = cut(per_gram.where(F.col("n_ctx") > crowd).select("gram"))
-    scanned = scan_groups(near.join(crowded, "gram", "left_anti"), length)
-
-    windows = crowd_windows(near.join(crowded, "gram", "left_semi"), length)
-    shared = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
-    reach = windows.join(shared, "window", "left_semi").where("copies = 1").groupBy("doc_id", "th", "at").agg(F.max("off").alias("most"), F.min("off").alias("least"))
-    reach = reach.select("doc_id", "th", (F.col("at") - F.col("most")).alias("s"), (F.col("at") - F.col("least") + length).alias("e"))
-
-    spans = whole.union(scanned)
-    if not crowded.isEmpty():
-        spans = spans.union(reach)
+    if crowded.isEmpty():
+        spans = whole.union(scan_groups(near, length))
+    else:
+        near = saved(near)
+        windows = crowd_windows(near.join(crowded, "gram", "left_semi"), length)
+        shared = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
+        reach = windows.join(shared, "window", "left_semi").where("copies = 1").groupBy("doc_id", "th", "at").agg(
+            F.max("off").alias("most"), F.min("off").alias("least"))
+        reach = reach.select("doc_id", "th", (F.col("at") - F.col("most")).alias("s"), (F.col("at") - F.col("least") + length).alias("e"))
+        spans = whole.union(scan_groups(near.join(crowded, "gram", "left_anti"), length)).union(reach)
     return spans.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
 
 
