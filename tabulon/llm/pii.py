@@ -2,13 +2,13 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (Luhn) and
 phone numbers, found by regular expressions, leftmost and non-overlapping per
-kind. Every found value is a protected entity e. Corpus counts over distinct
-texts estimate how strongly a term t near it gives it away: with N texts,
-n(e) holding e, n(t) holding t and n(t,e) holding t near e, the pointwise
-mutual information log(N n(t,e) / (n(t) n(e))) is compared with the entity's
-information log(N / n(e)). A term that reveals at least ``generalise`` of it
-in two texts or more is generalised to its class, from ``remove`` on it is
-removed. Equal texts count once.
+kind. Every found value is a protected entity e. Counts over all documents
+estimate how strongly a term t near it gives it away: with N documents, n(e)
+holding e, n(t) holding t and n(t,e) holding t near e, the pointwise mutual
+information log(N n(t,e) / (n(t) n(e))) is compared with the entity's
+information log(N / n(e)). A term that reveals at least ``generalise`` of it,
+and stands near it in two different texts or more (copies are no evidence),
+is generalised to its class; from ``remove`` on it is removed.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"\p{L}{4,}+"
 NEAR = 80            # code points on either side of an entity
-MIN_TEXTS = 2        # texts in which a term must stand near an entity
 GENERALISE, REMOVE = 0.5, 0.9
 BROADCAST_ROWS = 500_000
 BLOCK = 256
@@ -103,6 +102,11 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*parts))
 
 
+def entity(sp: Column) -> Column:
+    """Hash of a found value, upper and lower case and separators aside."""
+    return F.xxhash64(sp["k"], F.lower(F.when(sp["k"] == 0, sp["v"]).otherwise(F.regexp_replace(sp["v"], "[^0-9.]", ""))))
+
+
 def near_terms(text: Column, spans: Column) -> Column:
     """array of (ent, term, s, e): terms near each span; ent and term are
     hashes of the entity and of the lower-cased term. Terms cut by the end
@@ -110,7 +114,7 @@ def near_terms(text: Column, spans: Column) -> Column:
     none = F.array().cast("array<struct<ent:bigint,term:bigint,s:int,e:int>>")
 
     def around(sp):
-        ent = F.xxhash64(sp["k"], F.lower(F.when(sp["k"] == 0, sp["v"]).otherwise(F.regexp_replace(sp["v"], "[^0-9.]", ""))))
+        ent = entity(sp)
 
         def side(start, size):
             part = F.substring(text, start + 1, size)
@@ -126,8 +130,7 @@ def near_terms(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, let(F.flatten(F.transform(spans, around)), outside)).otherwise(none)
 
 
-def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalise: float = GENERALISE,
-             min_texts: int = MIN_TEXTS) -> DataFrame:
+def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalise: float = GENERALISE) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (text hash), base (array of
     s, k, e, v) and spans (array of s, k, e, score; k indexes KINDS, 4 is an
     added term), by start, then kind. ``sanitised_text`` applies the spans
@@ -139,14 +142,17 @@ def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalis
     found = cut(rows.select("doc_id", "th", packed.alias("p")).select("doc_id", "th", "p.base", "p.terms"))
 
     near = found.select("doc_id", "th", F.explode("terms").alias("t")).select("doc_id", "th", "t.*")
-    pair = near.select("ent", "term", "th").distinct().groupBy("ent", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    pair = cut(pair.where(F.col("n_te") >= min_texts))
+    once = F.array_distinct(F.transform("terms", lambda t: F.struct(t["ent"].alias("ent"), t["term"].alias("term"))))
+    pair = found.select("th", F.explode(once).alias("t")).groupBy("t.ent", "t.term").agg(
+        F.count(F.lit(1)).alias("n_te"), (F.min("th") < F.max("th")).alias("texts"))
+    pair = cut(pair.where("texts").select("ent", "term", "n_te"))
     wanted = cut(pair.select("term").distinct())
     held = F.array_distinct(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
-    each = rows.select("th", F.explode(held).alias("term")).join(small(wanted, BROADCAST_ROWS), "term", "left_semi")
-    n_t = each.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    ents = near.select("ent", "th").distinct().groupBy("ent").agg(F.count(F.lit(1)).alias("n_e"))
-    total = found.agg(F.count_distinct("th").cast("double").alias("n")).first()["n"]
+    each = rows.select(F.explode(held).alias("term")).join(small(wanted, BROADCAST_ROWS), "term", "left_semi")
+    n_t = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    of = F.array_distinct(F.transform("base", entity))
+    ents = found.select(F.explode(of).alias("ent")).groupBy("ent").agg(F.count(F.lit(1)).alias("n_e"))
+    total = float(found.count())
     scored = pair.join(n_t, "term").join(ents, "ent")
     pmi = F.ln(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e").cast("double")))
     info = F.ln(F.lit(total) / F.col("n_e"))
