@@ -289,13 +289,12 @@ def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str
     only the rows of such buckets are weighted again, summed per value (ties
     are one row) and ordered: no task holds more than one bucket."""
     base = trials.select(F.col(id_col).alias("_id"), F.col(col).cast("double").alias("_x")).where("_x is not null")
-    with held(base) as once:
-        start, end = tail_range(once, "_x")
-    step = F.floor((F.col("_x") - F.lit(start)) / F.lit((end - start) or 1.0) * cuts).cast("int")
-    bucket = F.when(F.col("_x") < start, -1).when(F.col("_x") >= end, cuts).otherwise(F.least(step, F.lit(cuts - 1)))
-    bucketed = base.withColumn("_b", bucket)
     order = Window.partitionBy("replicate").orderBy("_b")
-    with held(bucketed) as rows:
+    with held(base) as rows:
+        start, end = tail_range(rows, "_x")
+        step = F.floor((F.col("_x") - F.lit(start)) / F.lit((end - start) or 1.0) * cuts).cast("int")
+        bucket = F.when(F.col("_x") < start, -1).when(F.col("_x") >= end, cuts).otherwise(F.least(step, F.lit(cuts - 1)))
+        rows = rows.withColumn("_b", bucket)
         sums = bootstrap_weights(rows, seed, replicates, "_id").groupBy("replicate", "_b").agg(
             F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("_x")).alias("s"))
         size = F.sum("w").over(Window.partitionBy("replicate"))
