@@ -10,14 +10,17 @@ fingerprint instead of the 1 + 64 + 2,016 of the plain ball of radius two
 (16 bytes each: 33 kB a document, more than the documents themselves).
 
 The variants are shuffled; a variant that only one fingerprint emits is
-dropped. Variants shared by at most ``PAIRED`` fingerprints are joined with
-themselves, deduplicated and verified by bit distance. Fingerprints on a
-variant shared by more (a large group of near copies) emit the plain ball of
-radius two among themselves: whatever lies within two flips of a midpoint is
-linked to the smallest fingerprint within one flip of it, so a group costs
-links in proportion to its size, never all its pairs, and no link is lost.
-At most 2,081 different fingerprints share a midpoint, which bounds that
-window.
+dropped. The fingerprints on a shared variant are put in order and each is
+verified against the three before it and the first; components of these links
+leave only pairs across components open. Variants whose fingerprints all lie
+in one component are settled. On the others, up to ``PAIRED`` fingerprints
+are joined across components, deduplicated and verified; fingerprints on a
+variant shared by more emit the plain ball of radius two among themselves:
+whatever lies within two flips of a midpoint is linked to the smallest
+fingerprint within one flip of it. So a large group of near copies costs
+links in proportion to its size, never all its pairs, and no link between
+components is lost. At most 2,081 different fingerprints share a midpoint,
+which bounds that window.
 
 Equal fingerprints are one node, however many documents carry them.
 """
@@ -35,7 +38,8 @@ from tabulon.llm.base import components, cut, in_arrow
 RADIUS = 3
 SHINGLE = 3       # words
 SEED = 42
-PAIRED = 8        # fingerprints on one variant that are compared pair by pair
+PAIRED = 128      # fingerprints on one variant that are compared pair by pair
+BEFORE = 3        # fingerprints before it that each is compared with
 BLOCK = 16        # bits erased at once
 CHUNK = 1 << 16   # shingles hashed at a time
 
@@ -85,6 +89,10 @@ def _variants() -> list[tuple[int, int, int]]:
     return out
 
 
+def _distance(a, b):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
 def links(fps: DataFrame, radius: int = RADIUS, paired: int = PAIRED) -> DataFrame:
     """(a, b): links between different fingerprints of ``fps(fp)``; their
     components are those of all pairs within ``radius`` bits."""
@@ -94,31 +102,34 @@ def links(fps: DataFrame, radius: int = RADIUS, paired: int = PAIRED) -> DataFra
     table = F.array(*[F.struct(F.lit(b).cast("byte").alias("b"), F.lit(k).alias("k"), F.lit(x).alias("x")) for b, k, x in _variants()])
     each = nodes.select("fp", F.explode(table).alias("v"))
     each = each.select(F.col("v.b").alias("block"), F.col("fp").bitwiseAND(F.col("v.k")).bitwiseXOR(F.col("v.x")).alias("key"), "fp")
-    shared = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key", "block"))).where("n > 1")
-    shared = cut(shared)
-
-    few = shared.where(F.col("n") <= paired)
+    on = Window.partitionBy("key", "block")
+    shared = cut(each.withColumn("n", F.count(F.lit(1)).over(on)).where("n > 1"))
+
+    order = on.orderBy("fp")
+    others = F.array(*[F.lag("fp", i).over(order) for i in range(1, BEFORE + 1)], F.first("fp").over(order))
+    near = shared.select("fp", others.alias("o")).select("fp", F.explode(F.array_distinct("o")).alias("a"))
+    near = near.where("a <> fp").select("a", F.col("fp").alias("b")).distinct().where(_distance("a", "b") <= radius)
+    rooted = cut(components(near).select(F.col("id").alias("c"), "root"))
+
+    # variants with few fingerprints were compared pair by pair already
+    open_ = shared.where(F.col("n") > BEFORE + 1).join(rooted, F.col("fp") == F.col("c"), "left").select(
+        "key", "block", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    open_ = open_.withColumn("differs", F.min("root").over(on) < F.max("root").over(on))
+    open_ = cut(open_.where("differs").select("key", "block", "fp", "n", "root"))
+    few = open_.where(F.col("n") <= paired)
     l, r = few.alias("l"), few.alias("r")
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.fp") < F.col("r.fp")))
-    pairs = pairs.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b")).distinct()
-    pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-
-    crowd = shared.where(F.col("n") > paired).select("fp").distinct()
-    return pairs.union(_star(crowd)).distinct()
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.root") < F.col("r.root")))
+    pairs = pairs.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b")).distinct().where(_distance("a", "b") <= radius)
+    crowd = open_.where(F.col("n") > paired).select("fp").distinct()
+    return rooted.select(F.col("root").alias("a"), F.col("c").alias("b")).where("a <> b").union(pairs).union(_star(crowd)).distinct()
 
 
 def _star(crowd: DataFrame) -> DataFrame:
     """Links among ``crowd(fp)`` through the midpoints of the plain ball."""
-    bit = [_signed(1 << i) for i in range(64)]
-    one = F.array(*[F.struct(F.lit(0).cast("byte").alias("d"), F.lit(0).cast("bigint").alias("x"))],
-                  *[F.struct(F.lit(1).cast("byte").alias("d"), F.lit(x).alias("x")) for x in bit])
-    first = crowd.select("fp", F.explode(one).alias("v")).select("fp", "v.d", (F.col("fp").bitwiseXOR(F.col("v.x"))).alias("mid"), F.col("v.x").alias("x"))
-    again = first.where("d = 1").select("fp", "mid", "x", F.explode(F.array(*[F.lit(x) for x in bit])).alias("y"))
-    # each pair of bits once: the first flipped bit is the lower one
-    low = F.when(F.col("x") < 0, F.lit(False)).when(F.col("y") < 0, F.lit(True)).otherwise(F.col("x") < F.col("y"))
-    second = again.where(low).select("fp", F.lit(2).cast("byte").alias("d"), F.col("mid").bitwiseXOR(F.col("y")).alias("mid"))
-    ball = first.select("fp", "d", "mid").union(second)
-    hub = F.min(F.when(F.col("d") <= 1, F.col("fp"))).over(Window.partitionBy("mid"))
+    flips = [0, *(1 << i for i in range(64)), *((1 << i) | (1 << j) for i in range(64) for j in range(i))]
+    ball = F.array(*[F.lit(_signed(x)) for x in flips])
+    ball = crowd.select("fp", F.explode(ball).alias("x")).select("fp", F.col("fp").bitwiseXOR(F.col("x")).alias("mid"))
+    hub = F.min(F.when(_distance("fp", "mid") <= 1, F.col("fp"))).over(Window.partitionBy("mid"))
     return ball.withColumn("hub", hub).where("hub <> fp").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
 
 
