@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, pii, quality, repeats, secrets, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, oracle, pii, quality, repeats, secrets, simhash
 from tabulon.llm.base import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,4 +84,11 @@ QUERIES = {
     "op10_winnow": op10_winnow,
 }
 
-ORACLE: dict = {}
+#: The others have no SQL form (XXH64 fingerprints, BPE, parsers, windows of
+#: formatted text, a trained forest, byte-wise suffix matches): their tests
+#: hold them against brute force.
+ORACLE = {
+    "op6_quality": oracle.QUALITY,
+    "op8_lines": oracle.LINE_DEDUP,
+    "op10_winnow": oracle.WINNOW,
+}
