@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm import bpe, decontaminate, lines, quality, simhash
 from tabulon.llm.base import on_key, row_key, table
-from tabulon.llm.queries import TOKENIZER
+from tabulon.llm.queries import tokenizer_file
 from tabulon.session import checkpoint_dir
 
 
@@ -53,8 +53,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded text."""
-    encoded = bpe.bpe_encode(docs.select("doc_id", "text"), TOKENIZER).drop("text")
-    return bpe.bpe_decode(encoded, TOKENIZER).select("doc_id", *bpe.digests())
+    path = tokenizer_file()
+    encoded = bpe.bpe_encode(docs.select("doc_id", "text"), path).drop("text")
+    return bpe.bpe_decode(encoded, path).select("doc_id", *bpe.digests())
 
 
 STAGES = [

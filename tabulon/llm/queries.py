@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from tabulon.llm import bpe, chat, decontaminate, html, lines, oracle, pii, quality, repeats, secrets, simhash
 from tabulon.llm.base import table
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+def tokenizer_file() -> str:
+    """The installed vocabulary file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_repeats(spark, sf_dir):
@@ -51,8 +55,9 @@ def op6_quality(spark, sf_dir):
 
 def op7_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.bpe_encode(docs, TOKENIZER).drop("text")
-    return bpe.bpe_decode(encoded, TOKENIZER).select("doc_id", *bpe.digests())
+    path = tokenizer_file()
+    encoded = bpe.bpe_encode(docs, path).drop("text")
+    return bpe.bpe_decode(encoded, path).select("doc_id", *bpe.digests())
 
 
 def op8_lines(spark, sf_dir):
