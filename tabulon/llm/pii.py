@@ -2,13 +2,14 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (Luhn) and
 phone numbers, found by regular expressions, leftmost and non-overlapping per
-kind. Every found value is a protected entity e. Counts over all documents
-estimate how strongly a term t near it gives it away: with N documents, n(e)
-holding e, n(t) holding t and n(t,e) holding t near e, the pointwise mutual
-information log(N n(t,e) / (n(t) n(e))) is compared with the entity's
-information log(N / n(e)). A term that reveals at least ``generalise`` of it,
-and stands near it in two different texts or more (copies are no evidence),
-is generalised to its class; from ``remove`` on it is removed.
+kind. Every found value is a protected entity e. Counts over all different
+texts (equal texts count once) estimate how strongly a term t of a text that
+holds e, wherever it stands, gives it away: with N texts, n(e) holding e, n(t)
+holding t and n(t,e) holding both, the pointwise mutual information
+log(N n(t,e) / (n(t) n(e))) is compared with the entity's information
+log(N / n(e)). In each text that holds e, every place of a term that reveals
+at least ``generalise`` of it, and stands with it in ``min_texts`` texts or
+more, is generalised to its class; from ``remove`` on it is removed.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.base import cut, let, on_key, row_key, small
+from tabulon.llm.base import cut, let, on_key, row_key, saved, small
 
 #: Kinds in the order of their rank.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -31,8 +32,9 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-TERM = r"\p{L}{4,}+"
-NEAR = 80            # code points on either side of an entity
+#: Words of three letters or more, Chinese, Japanese and Korean ones of two.
+TERM = r"\p{L}{3,}+|[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]{2,}+"
+MIN_TEXTS = 2        # texts in which a term must stand with an entity
 GENERALISE, REMOVE = 0.5, 0.9
 BROADCAST_ROWS = 500_000
 BLOCK = 256
@@ -107,30 +109,24 @@ def entity(sp: Column) -> Column:
     return F.xxhash64(sp["k"], F.lower(F.when(sp["k"] == 0, sp["v"]).otherwise(F.regexp_replace(sp["v"], "[^0-9.]", ""))))
 
 
-def near_terms(text: Column, spans: Column) -> Column:
-    """array of (ent, term, s, e): terms near each span; ent and term are
-    hashes of the entity and of the lower-cased term. Terms cut by the end
-    of the neighbourhood are left out."""
-    none = F.array().cast("array<struct<ent:bigint,term:bigint,s:int,e:int>>")
+def terms(text: Column, spans: Column) -> Column:
+    """array of (term, s, e): the terms of a text with base spans, outside
+    its addresses (no other kind has letters); term is the hash of the
+    lower-cased term."""
+    none = F.array().cast("array<struct<term:bigint,s:int,e:int>>")
+    found = F.transform(matches(text, TERM), lambda m: F.struct(F.xxhash64(F.lower(m["v"])).alias("term"), m["s"].alias("s"), m["e"].alias("e")))
+    outside = let(F.filter(spans, lambda sp: sp["k"] == 0), lambda mails: F.filter(found, lambda t: ~F.exists(
+        mails, lambda sp: (t["s"] < sp["e"]) & (t["e"] > sp["s"]))))
+    return F.when(F.size(spans) > 0, outside).otherwise(none)
 
-    def around(sp):
-        ent = entity(sp)
 
-        def side(start, size):
-            part = F.substring(text, start + 1, size)
-            return let(part, lambda p: F.transform(F.filter(matches(p, TERM), lambda m: ((m["s"] > 0) | (start == 0)) & (
-                (m["e"] < F.char_length(p)) | (start + size >= F.char_length(text)) | (start + size == sp["s"]))),
-                lambda m: F.struct(ent.alias("ent"), F.xxhash64(F.lower(m["v"])).alias("term"), (start + m["s"]).alias("s"), (start + m["e"]).alias("e"))))
-        before = F.greatest(sp["s"] - NEAR, F.lit(0))
-        return F.concat(side(before, sp["s"] - before), F.filter(side(sp["e"], F.lit(NEAR)), lambda m: m["s"] >= sp["e"]))
+def texts_of(weight: Column) -> Column:
+    """Number of different texts: the rows of a text weigh one together."""
+    return F.round(F.sum(weight))
 
-    # a term inside another span is covered already
-    def outside(ts):
-        return F.filter(ts, lambda t: ~F.exists(spans, lambda sp: (t["s"] < sp["e"]) & (t["e"] > sp["s"])))
-    return F.when(F.size(spans) > 0, let(F.flatten(F.transform(spans, around)), outside)).otherwise(none)
 
-
-def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalise: float = GENERALISE) -> DataFrame:
+def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalise: float = GENERALISE,
+             min_texts: int = MIN_TEXTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (text hash), base (array of
     s, k, e, v) and spans (array of s, k, e, score; k indexes KINDS, 4 is an
     added term), by start, then kind. ``sanitised_text`` applies the spans
@@ -138,27 +134,45 @@ def sanitise(docs: DataFrame, doc: str = "doc_id", text: str = "text", generalis
     overlap; rows repeated in full get equal results; an empty table gives
     an empty one."""
     rows = docs.select(*row_key(doc, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    packed = let(base_spans(F.col("text")), lambda b: F.struct(b.alias("base"), near_terms(F.col("text"), b).alias("terms")))
-    found = cut(rows.select("doc_id", "th", packed.alias("p")).select("doc_id", "th", "p.base", "p.terms"))
-
-    near = found.select("doc_id", "th", F.explode("terms").alias("t")).select("doc_id", "th", "t.*")
-    once = F.array_distinct(F.transform("terms", lambda t: F.struct(t["ent"].alias("ent"), t["term"].alias("term"))))
-    pair = found.select("th", F.explode(once).alias("t")).groupBy("t.ent", "t.term").agg(
-        F.count(F.lit(1)).alias("n_te"), (F.min("th") < F.max("th")).alias("texts"))
-    pair = cut(pair.where("texts").select("ent", "term", "n_te"))
-    wanted = cut(pair.select("term").distinct())
-    held = F.array_distinct(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
-    each = rows.select(F.explode(held).alias("term")).join(small(wanted, BROADCAST_ROWS), "term", "left_semi")
-    n_t = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    of = F.array_distinct(F.transform("base", entity))
-    ents = found.select(F.explode(of).alias("ent")).groupBy("ent").agg(F.count(F.lit(1)).alias("n_e"))
-    total = float(found.count())
-    scored = pair.join(n_t, "term").join(ents, "ent")
-    pmi = F.ln(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e").cast("double")))
-    info = F.ln(F.lit(total) / F.col("n_e"))
-    scored = scored.select("ent", "term", F.when(info > 0, pmi / info).otherwise(F.lit(0.0)).alias("score")).where(F.col("score") >= generalise)
-    scored = small(cut(scored), BROADCAST_ROWS)
-    added = near.join(scored, ["ent", "term"]).groupBy("doc_id", "th", "s", "e").agg(F.max("score").alias("score"))
+    copies = cut(rows.groupBy("th").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    copies = small(copies, BROADCAST_ROWS)
+    weight = F.lit(1.0) / F.coalesce("n", F.lit(1))
+    packed = let(base_spans(F.col("text")), lambda b: F.struct(b.alias("base"), terms(F.col("text"), b).alias("terms")))
+    found = saved(rows.select("doc_id", "th", packed.alias("p")).select("doc_id", "th", "p.base", "p.terms"))
+    total = float(found.select("th").distinct().count())
+
+    # entities of one text only stand with each of its terms once: no pairs to count
+    held = found.where(F.size("base") > 0).join(copies, "th", "left").select(
+        "doc_id", "th", weight.alias("w"), F.array_distinct(F.transform("base", entity)).alias("ents"), "terms")
+    each = held.select("doc_id", "th", "w", F.explode("ents").alias("ent"))
+    ents = cut(each.groupBy("ent").agg(texts_of(F.col("w")).alias("n_e")))
+    of = each.join(small(ents, BROADCAST_ROWS), "ent").groupBy("doc_id", "th").agg(
+        F.max(F.col("n_e") == 1).alias("once"), F.collect_set(F.when(F.col("n_e") > 1, F.col("ent"))).alias("again"))
+    held = on_key(held, of).withColumn("once", F.col("once") & F.lit(min_texts <= 1))
+    held = saved(held.where(F.col("once") | (F.size("again") > 0)).select("doc_id", "th", "w", "once", "again", "terms"))
+    both = held.select("w", F.explode("again").alias("ent"), F.array_distinct("terms.term").alias("t")).select("w", "ent", F.explode("t").alias("term"))
+    pair = cut(both.groupBy("ent", "term").agg(texts_of(F.col("w")).alias("n_te")).where(F.col("n_te") >= min_texts))
+
+    lone = held.where("once").select(F.explode(F.array_distinct("terms.term")).alias("term"))
+    wanted = cut(pair.select("term").union(lone).distinct())
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
+    seen = rows.select("th", words.alias("t")).join(copies, "th", "left").select(weight.alias("w"), F.explode("t").alias("term"))
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else all terms are counted, by partial aggregation
+        seen = seen.join(F.broadcast(wanted), "term", "left_semi")
+    n_t = cut(seen.groupBy("term").agg(texts_of(F.col("w")).alias("n_t")).join(wanted, "term", "left_semi"))
+
+    def scores(df):
+        pmi = F.ln(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+        info = F.ln(F.lit(total) / F.col("n_e"))
+        score = F.when(info > 0, pmi / info).otherwise(F.lit(0.0))
+        return small(cut(df.withColumn("score", score).where(F.col("score") >= generalise).drop("n_te", "n_t", "n_e")), BROADCAST_ROWS)
+
+    places = held.select("doc_id", "th", "once", "again", F.explode("terms").alias("t")).select("doc_id", "th", "once", "again", "t.*")
+    alone = scores(n_t.withColumns({"n_te": F.lit(1.0), "n_e": F.lit(1.0)}))
+    alone = places.where("once").join(alone, "term").select("doc_id", "th", "s", "e", "score")
+    shared = scores(pair.join(n_t, "term").join(ents, "ent"))
+    shared = places.select("doc_id", "th", "term", "s", "e", F.explode("again").alias("ent")).join(shared, ["ent", "term"])
+    added = alone.union(shared.select("doc_id", "th", "s", "e", "score")).groupBy("doc_id", "th", "s", "e").agg(F.max("score").alias("score"))
     added = added.groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", "score")).alias("added"))
 
     base = F.transform("base", lambda b: F.struct(b["s"].alias("s"), b["k"].alias("k"), b["e"].alias("e"), F.lit(None).cast("double").alias("score")))

@@ -76,3 +76,14 @@ def test_copies_are_no_evidence(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id int, text string")
     assert pii.sanitise(df).count() == 0
+
+
+def test_terms_anywhere_in_the_text(spark):
+    """'lee' and a name of two characters stand with one address only, far
+    from it; a term of the copies' text counts once."""
+    far = " the same words again and again" * 9
+    rows = [(d, f"lee \u674e\u56db {far} {i} boss@corp.org" + far) for d, i in ((0, 0), (1, 1), (2, 2), (9, 0))]
+    rows += [(20 + i, f"{far} {i}") for i in range(40)]
+    out = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i in (0, 1, 2, 9):
+        assert [(s["s"], s["e"], round(s["score"], 9)) for s in out[i]["spans"] if s["k"] == 4] == [(0, 3, 1.0), (4, 6, 1.0)]
