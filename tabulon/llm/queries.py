@@ -33,7 +33,7 @@ def op2_chat(spark, sf_dir):
 
 
 def op3_pii(spark, sf_dir):
-    found = pii.sanitise(table(spark, sf_dir, "documents"))
+    found = pii.sanitise(table(spark, sf_dir, "documents"), min_texts=1)
     counts = [F.size(F.filter("base", lambda b: b["k"] == k)).cast("bigint").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
                         pii.written(F.col("spans")).alias("spans"))

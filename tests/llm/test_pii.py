@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
-from tabulon.llm import pii
+from tabulon.llm import pii, queries
+from tabulon.session import checkpoint_dir
 
 KINDS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
          ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
@@ -87,3 +89,12 @@ def test_terms_anywhere_in_the_text(spark):
     out = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
     for i in (0, 1, 2, 9):
         assert [(s["s"], s["e"], round(s["score"], 9)) for s in out[i]["spans"] if s["k"] == 4] == [(0, 3, 1.0), (4, 6, 1.0)]
+
+
+def test_query_scores_terms_of_one_text(spark):
+    """A rare name beside a one-off address, whose text is there twice."""
+    rows = [(i, "zanzibar report hapax@corp.org") for i in (1, 2)] + [(10 + i, f"report number {i} ends") for i in range(30)]
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/case-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    out = {r["doc_id"]: r["spans"] for r in queries.op3_pii(spark, folder).collect()}
+    assert out == {1: "term:0:8,email:16:30", 2: "term:0:8,email:16:30", **{10 + i: "" for i in range(30)}}
