@@ -99,6 +99,11 @@ def quality(docs: DataFrame, doc: str = "doc_id", text: str = "text", host: str
     gone = rows.join(small(limits, BROADCAST_ROWS), ["host", "lh"])
     # a row repeated in full has each of its lines as often as it is repeated
     gone = gone.groupBy("doc_id", "th", "host").agg(F.sum("words").alias("n_all"), F.collect_set("lh").alias("removed"))
+    keys = docs.select(*row_key(doc, text), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"))
+    again = keys.groupBy("doc_id", "th", "host").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    again = small(cut(again.withColumnsRenamed({"doc_id": "_doc", "th": "_th", "host": "_host"})), BROADCAST_ROWS)
+    gone = gone.join(again, gone["doc_id"].eqNullSafe(again["_doc"]) & (gone["th"] == again["_th"]) & (gone["host"] == again["_host"]), "left")
+    gone = gone.select("doc_id", "th", "host", (F.col("n_all") / F.coalesce("m", F.lit(1))).cast("bigint").alias("n_all"), "removed")
     per_host = docs.select(*row_key(doc, text), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), base_rules(F.col(text)).alias("b"))
     times = per_host.select("doc_id", "th", "host", "b.*")
     gone = gone.withColumnsRenamed({"doc_id": "_doc", "th": "_th", "host": "_host"})

@@ -106,3 +106,11 @@ def test_near_threshold_lines_are_exact(spark):
 def test_empty(spark):
     df = table(spark, corpus()).limit(0)
     assert quality(df).count() == 0 and dedup_lines(df).count() == 0
+
+
+def test_repeated_rows_are_one_document(spark):
+    """A quarter of the words are boilerplate: kept, however often repeated."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60)) + "\n" + "all rights reserved " * 6 + "now here", "s1") for i in range(30)]
+    rows += [rows[0]] * 3 + [(None, rows[1][1], "s1")] * 4
+    out = quality(table(spark, rows), max_docs=3).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(map(tuple, out), key=str) == sorted([(r[0], 80, 20, True) for r in rows], key=str)
