@@ -35,13 +35,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays
-    (of rows repeated under that id, one)."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct() \
-        .withColumnRenamed("doc_id", "_first")
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("_first")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """Of each group of near copies the document with the smallest id (null
+    ids last, then the smallest text hash) stays; of rows repeated under that
+    id with that text, one."""
+    doc, th = row_key()
+    groups = simhash.near_duplicates(docs.select(F.struct(doc.isNull().alias("none"), doc, th).alias("key"), "text"), "key")
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.doc_id", "doc_id.th").distinct()
+    kept = on_key(_keyed(docs), first, "left_semi")
+    return kept.dropDuplicates(["doc_id", "th"]).select("_in.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,14 @@ def test_stages(spark):
 def test_empty(spark):
     folder = write(spark, [], [])
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_dedup_null_and_repeated_ids(spark):
+    """Different texts stay under one id or none; of copies one row stays."""
+    rnd = random.Random(5)
+    a, b, c, d = (" ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(80)) for _ in range(4))
+    docs = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (9, c), (None, d)]
+    rows = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    done = corpus_pipeline.near_dedup(spark, rows, "")
+    assert done.columns == rows.columns
+    assert {(r["doc_id"], r["text"]) for r in done.collect()} == {(None, a), (None, b), (7, c), (7, d)} and done.count() == 4
