@@ -106,7 +106,7 @@ def features(v: str, before: str, after: str, dictionary: frozenset, transitions
     near = before.lower()
     return [float(n), kinds.count("U") / n, kinds.count("l") / n, kinds.count("d") / n, kinds.count("s") / n, len(set(v)) / n,
             sum(a != b for a, b in zip(kinds, kinds[1:])) / n, float(all(c in "0123456789abcdef" for c in low)),
-            sum(steps) / max(1, len(steps)), coverage(low[:200], dictionary), float(v.count("/")),
+            sum(steps) / max(1, len(steps)), coverage(low, dictionary), float(v.count("/")),
             float(bool(re.match(r"\.[a-z]{1,4}\b", after)) or before.endswith("/")), float(before[-1:] in "\"'" and before != ""),
             float(bool(re.search(r"[:=]\s*[\"']?$", before))), *[float(h in near) for h in HINTS]]
 

@@ -60,3 +60,10 @@ def test_rules():
     assert secrets.rule_label("4255288147357540", "x ") == 0
     assert secrets.rule_label("e96702bb6bffa955b130", "commit ") == 0
     assert secrets.rule_label("e96702bb6bffa955b130", "plain ") is None
+
+
+def test_coverage_of_long_candidates():
+    """Words after a long head without any count as well."""
+    v = "0" * 300 + "word" * 75
+    found = secrets.features(v, "", "", frozenset(["word"]), [0.0] * 729)
+    assert found[secrets.FEATURES.index("coverage")] == 0.5
