@@ -6,8 +6,8 @@ Sketches settle the lines far from the threshold; lines whose estimate lies
 within ``band`` of it get an exact distinct count. Lines on ``min_sites``
 sites or more are boilerplate and removed from every document -- except from
 documents of which they make up more than ``max_share`` of the characters:
-those are copies of one another rather than pages with boilerplate, and are
-left whole for the near-duplicate stage.
+many of those are copies of one another, left whole for the near-duplicate
+stage, but pages with little besides boilerplate are left whole as well.
 """
 
 from __future__ import annotations
