@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, oracle, pii, quality, repeats, secrets, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, oracle, pii, quality, repeats, runs, secrets, simhash
 from tabulon.llm.base import table
 
 
@@ -76,6 +76,14 @@ def op10_winnow(spark, sf_dir):
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_runs(spark, sf_dir):
+    found = runs.periodic_runs(runs.with_periods(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_repeats": op1_repeats,
     "op2_chat": op2_chat,
@@ -87,6 +95,7 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_secrets": op9_secrets,
     "op10_winnow": op10_winnow,
+    "op11_runs": op11_runs,
 }
 
 #: The others have no SQL form (XXH64 fingerprints, BPE, parsers, windows of
