@@ -58,3 +58,18 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(cov.n, 0) AS n_hit,
        sha256(coalesce(its.s, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """
+
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (SELECT * FROM (SELECT anchor_id, id, score, ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS n FROM p WHERE same) x
+        WHERE n <= 5),
+neg AS (SELECT pos.anchor_id, pos.id AS positive_id, p.id AS negative_id, pos.score AS positive_score, p.score AS negative_score,
+        CAST(ROW_NUMBER() OVER (PARTITION BY pos.anchor_id, pos.id ORDER BY p.score DESC, p.id) AS INTEGER) AS rank
+        FROM pos JOIN p ON p.anchor_id = pos.anchor_id AND NOT p.same
+        WHERE 80 * pos.score <= 100 * p.score AND 100 * p.score <= 100 * pos.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, oracle, pii, quality, repeats, runs, secrets, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, negatives, oracle, pii, quality, repeats, runs, secrets, simhash
 from tabulon.llm.base import table
 
 
@@ -84,6 +84,12 @@ def op11_runs(spark, sf_dir):
                         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_negatives(spark, sf_dir):
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(given.select("vec_id", moved.alias("label"), "embedding"))
+
+
 QUERIES = {
     "op1_repeats": op1_repeats,
     "op2_chat": op2_chat,
@@ -96,6 +102,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_winnow": op10_winnow,
     "op11_runs": op11_runs,
+    "op12_negatives": op12_negatives,
 }
 
 #: The others have no SQL form (XXH64 fingerprints, BPE, parsers, windows of
@@ -105,4 +112,5 @@ ORACLE = {
     "op6_quality": oracle.QUALITY,
     "op8_lines": oracle.LINE_DEDUP,
     "op10_winnow": oracle.WINNOW,
+    "op12_negatives": oracle.HARD_NEGATIVES,
 }
