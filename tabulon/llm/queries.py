@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulon.llm import bpe, chat, decontaminate, html, lines, negatives, oracle, pii, quality, repeats, runs, secrets, simhash
+from tabulon.llm import bpe, chat, decontaminate, html, lines, maxent, negatives, oracle, pii, quality, repeats, runs, secrets, simhash
 from tabulon.llm.base import table
 
 
@@ -90,6 +90,10 @@ def op12_negatives(spark, sf_dir):
     return negatives.hard_negatives(given.select("vec_id", moved.alias("label"), "embedding"))
 
 
+def op13_maxent(spark, sf_dir):
+    return maxent.language_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_repeats": op1_repeats,
     "op2_chat": op2_chat,
@@ -103,6 +107,7 @@ QUERIES = {
     "op10_winnow": op10_winnow,
     "op11_runs": op11_runs,
     "op12_negatives": op12_negatives,
+    "op13_maxent": op13_maxent,
 }
 
 #: The others have no SQL form (XXH64 fingerprints, BPE, parsers, windows of
