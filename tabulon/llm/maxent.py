@@ -51,9 +51,10 @@ WAYS = 16                  # children of a node
 BITS = 17                  # 2^17 rows of weights: 8 MB
 SHORTLIST = 1 << 18        # words with a code of their own
 ROUNDS = 2
-TASK_TOKENS = 2_000_000    # training tokens of a task
-BLOCK = 8_192              # tokens of a mini-batch
+TASK_TOKENS = 4_000_000    # training tokens of a task
+BLOCK = 4_096              # tokens of a mini-batch
 RATE = 0.5
+MOST = 20.0                # change of a child's logarithm by the weights
 ALPHA = 0.1                # added to every count
 END = ""                   # the end token in the count table; no word is empty
 BEFORE = -1                # history before the text
@@ -166,13 +167,17 @@ def rows_for(keys: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def log_shares(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log probabilities of the children of each event's node."""
-    z = bias[node]
-    for f in range(rows.shape[1]):
-        z = z + weights[rows[:, f]]
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def shares(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Probabilities of the children of each event's node; the weights move
+    a child's logarithm by ``MOST`` at most, so no exponential overflows."""
+    z = np.take(weights, rows[:, 0], axis=0)
+    for f in range(1, rows.shape[1]):
+        z += np.take(weights, rows[:, f], axis=0)
+    np.clip(z, -MOST, MOST, out=z)
+    z += np.take(bias, node, axis=0)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(WAYS, np.float32))[:, None]
+    return z
 
 
 class Reader:
@@ -215,12 +220,13 @@ def strung(leaf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Learner:
-    """Local gradient updates from given weights."""
+    """Local gradient updates from given weights; AdaGrad with one sum of
+    squared gradients per row."""
 
     def __init__(self, weights: np.ndarray, touches: np.ndarray, codes, rate: float = RATE):
         self.start, self.w = weights, weights.copy()
         # squared gradients so far, estimated from the touches of former rounds
-        self.squares = np.repeat(1.0 + 0.05 * touches[:, None], WAYS, 1).astype(np.float32)
+        self.squares = (1.0 + 0.5 * touches).astype(np.float32)
         self.touched = np.zeros(len(weights), np.int64)
         self.codes, self.rate = codes, rate
         self.bits = len(weights).bit_length() - 1
@@ -228,17 +234,25 @@ class Learner:
     def learn(self, leaf: np.ndarray, keys: np.ndarray) -> None:
         at, node, digit = self.codes.events(leaf)
         rows = rows_for(keys[at], node, self.bits)
-        slope = -np.exp(log_shares(self.w, self.codes.bias, node, rows))
+        slope = -shares(self.w, self.codes.bias, node, rows)
         slope[np.arange(len(at)), digit] += 1
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        sorted_rows = flat[order]
-        first = np.concatenate([[0], np.flatnonzero(sorted_rows[1:] != sorted_rows[:-1]) + 1])
-        sums = np.add.reduceat(slope[order // rows.shape[1]], first, axis=0)
-        hit = sorted_rows[first]
-        self.squares[hit] += sums * sums
-        self.w[hit] += self.rate * sums / np.sqrt(self.squares[hit])
-        self.touched[hit] += np.diff(np.append(first, len(flat)))
+        # (row, event) as one number: sorting values beats sorting places
+        place = rows.shape[1] * len(at)
+        packed = np.sort((rows.ravel() * place) + np.arange(place))
+        row, event = packed // place, packed % place // rows.shape[1]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        n = np.diff(np.append(first, place))
+        hit, sums = row[first], np.take(slope, event[first], axis=0)
+        again = np.flatnonzero(n > 1)  # most rows occur once in a block
+        if len(again):
+            inside = np.repeat(n > 1, n)
+            start = np.concatenate([[0], np.cumsum(n[again])[:-1]])
+            sums[again] = np.add.reduceat(np.take(slope, event[inside], axis=0), start, axis=0)
+        squares = self.squares[hit] + np.einsum("ij,ij->i", sums, sums)
+        self.squares[hit] = squares
+        sums *= (self.rate / np.sqrt(squares))[:, None]
+        self.w[hit] += sums
+        self.touched[hit] += n
 
     def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hit = np.flatnonzero(self.touched)
@@ -346,8 +360,11 @@ def score_texts(docs: DataFrame, model: Model, rare: DataFrame, doc: str = "doc_
                 keys = history(leaf, first)
                 for a in range(0, len(leaf), BLOCK):
                     at, node, digit = codes.events(leaf[a:a + BLOCK])
-                    share = log_shares(weights, codes.bias, node, rows_for(keys[a:a + BLOCK][at], node, bits))
-                    chance += np.bincount(text[a:a + BLOCK][at], share[np.arange(len(at)), digit].astype(float), minlength=n)
+                    share = shares(weights, codes.bias, node, rows_for(keys[a:a + BLOCK][at], node, bits))
+                    share = np.log(share[np.arange(len(at)), digit].astype(float))
+                    low = text[a]  # texts of this block
+                    each = np.bincount(text[a:a + BLOCK][at] - low, share)
+                    chance[low:low + len(each)] += each
             is_rare = leaf == reader.rare
             known = np.bincount(text, (counts[leaf] > 0).astype(float), minlength=n).astype(np.int64)
             get = reader.leaf

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulon.llm import maxent, queries
-from tabulon.llm.maxent import Codes, Learner, Reader, fit, history, language_scores, log_shares, rows_for, score_texts, strung, tokens
+from tabulon.llm.maxent import Codes, Learner, Reader, fit, history, language_scores, rows_for, score_texts, shares, strung, tokens
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,7 +72,7 @@ def test_probabilities_sum_to_one():
         seq = np.append(given, leaf)
         keys = history(seq, np.zeros(4, np.int64))
         at, node, digit = codes.events(seq[-1:])
-        total += math.exp(log_shares(table, codes.bias, node, rows_for(keys[3:][at], node, 8))[np.arange(len(at)), digit].sum())
+        total += shares(table, codes.bias, node, rows_for(keys[3:][at], node, 8))[np.arange(len(at)), digit].prod()
     assert total == pytest.approx(1.0, abs=1e-4)
 
 
@@ -95,7 +95,7 @@ def test_learner_learns_an_order():
     at, node, digit = codes.events(leaf[:5])
 
     def chance(w):
-        return log_shares(w, codes.bias, node, rows_for(keys[:5][at], node, 10))[np.arange(len(at)), digit].sum()
+        return np.log(shares(w, codes.bias, node, rows_for(keys[:5][at], node, 10))[np.arange(len(at)), digit]).sum()
     assert chance(learner.w) > chance(zero) + 4
     assert (learner.start == 0).all()
 
