@@ -11,17 +11,21 @@ same result (smallest rank first, leftmost among equals).
 
 The vocabulary file (a ``tokenizers`` JSON of a byte-level BPE) is read from
 the path on the worker, once per Python process; it is a fixed public file
-and part of the tokenizer's installation, not data. Results per word are
-remembered in a table that is emptied when full, so memory is bounded.
+and part of the tokenizer's installation, not data. The path may be a function
+that names it, called where the file is read. Results per word are remembered
+in a table that loses its older half when full, so memory is bounded.
 
 Null text counts as empty: no tokens, decoded as ''.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +87,14 @@ class Vocabulary:
         self.pieces = regex.compile(PIECES)
         found = "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
         self.special = regex.compile(f"({found})") if found else None
-        self.known: dict = {}  # word -> its ids as int32 bytes
-        self.forget()
+        # word -> its ids as int32 bytes, as decimal text, and decoded
+        self.fixed = {t.encode(): self.entry(np.array([i], np.int32)) for t, i in self.added.items()}
+        self.known: dict = dict(self.fixed)
+
+    def entry(self, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
+        """What is remembered of a word."""
+        listed = ids.tolist()
+        return ids.tobytes(), ",".join(map(str, listed)).encode(), b"".join([self.bytes[i] for i in listed])
 
     # ------------------------------------------------------------- words
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,9 +178,9 @@ class Vocabulary:
         for i in range(0, len(short), 4096):
             part = short[i:i + 4096]
             for (_, w), ids in zip(part, self.merge_short([b for b, _ in part])):
-                self.known[w] = ids.tobytes()
+                self.known[w] = self.entry(ids)
         for b, w in coded[len(short):]:
-            self.known[w] = self.merge_long(b).tobytes()
+            self.known[w] = self.entry(self.merge_long(b))
 
     # ------------------------------------------------------------- texts
     def split(self, text: str) -> list:
@@ -185,19 +195,20 @@ class Vocabulary:
                 out += self.pieces.findall(part)
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
+    def look_up(self, texts: list[str]) -> list[list[tuple[bytes, bytes, bytes]]]:
+        """The entries of the pieces of each text."""
         split = [self.split(t) for t in texts]
-        fresh = set().union(*split) - self.known.keys()
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.forget()
-            fresh = set().union(*split) - self.known.keys()
-        self.learn([w for w in fresh if isinstance(w, str)])
+        pieces = set().union(*split)
+        if len(self.known) + len(pieces - self.known.keys()) > REMEMBERED:
+            half = len(self.known) // 2
+            self.known = dict(islice(self.known.items(), half, None)) | self.fixed
+        self.learn([w for w in pieces - self.known.keys() if isinstance(w, str)])
         look = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(look, ws)), np.int32) for ws in split]
+        return [list(map(look, ws)) for ws in split]
 
-    def forget(self) -> None:
-        self.known = {t.encode(): np.int32(i).tobytes() for t, i in self.added.items()}
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        return [np.frombuffer(b"".join([e[0] for e in found]), np.int32) for found in self.look_up(texts)]
 
     def decode(self, ids) -> str:
         look = self.bytes
@@ -205,8 +216,8 @@ class Vocabulary:
 
 
 @lru_cache(maxsize=4)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str | Callable[[], str]) -> Vocabulary:
+    return Vocabulary(path() if callable(path) else path)
 
 
 def _blocks(sizes, most: int = 2_000_000):
@@ -221,7 +232,7 @@ def _blocks(sizes, most: int = 2_000_000):
         yield start, len(sizes)
 
 
-def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+def bpe_encode(df: DataFrame, path: str | Callable[[], str], text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with ``out``: the token ids of ``text`` as array<int>. Other
     columns stay as they are; a column already named ``out`` is replaced."""
     df = df.drop(out) if out in df.columns else df
@@ -243,7 +254,7 @@ def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -
     return in_arrow(df, run, schema)
 
 
-def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def bpe_decode(df: DataFrame, path: str | Callable[[], str], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with ``out``: the text that the ids stand for (null ids: '';
     ids outside the vocabulary are left out; bytes that are not UTF-8 become
     U+FFFD)."""
@@ -268,3 +279,29 @@ def digests(ids: str = "ids", decoded: str = "decoded") -> list[Column]:
     return [F.size(F.coalesce(ids, F.array().cast("array<int>"))).cast("bigint").alias("n_tokens"),
             F.sha2(F.coalesce(F.array_join(F.col(ids).cast("array<string>"), ","), F.lit("")), 256).alias("ids_sha256"),
             F.sha2(F.col(decoded), 256).alias("decoded_sha256")]
+
+
+def bpe_round_trip(df: DataFrame, path: str | Callable[[], str], doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``df``: doc_id, n_tokens, ids_sha256 (of the decimal
+    ids joined by commas) and decoded_sha256 (of the text the ids stand for),
+    encoded, decoded and hashed in one pass, so that neither the ids nor the
+    decoded texts leave the worker."""
+    src = df.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        v = vocabulary(path)
+        for batch in batches:
+            lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0))
+            for a, b in _blocks(lengths):
+                rows = batch.slice(a, b - a)
+                n, ids, decoded = [], [], []
+                for found in v.look_up([t or "" for t in rows.column(1).to_pylist()]):
+                    n.append(sum([len(e[0]) for e in found]) // 4)
+                    ids.append(hashlib.sha256(b",".join([e[1] for e in found])).hexdigest())
+                    back = b"".join([e[2] for e in found]).decode("utf-8", "replace")
+                    decoded.append(hashlib.sha256(back.encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return in_arrow(src, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -25,6 +25,7 @@ K = 5
 #: Rows of (hash, hash, length) below which the benchmark side is broadcast.
 BROADCAST_ROWS = 500_000
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+UNFOLDED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # the same before A-Z is lower-cased
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,14 +34,12 @@ def bench_words(text: Column) -> Column:
     return pieces(F.translate(text, UPPER, LOWER), SEPARATOR)
 
 
-def loose_words(text: Column) -> Column:
-    """Words with every letter lower-cased: equal wherever ``bench_words``
-    are equal, split at the same places, and much cheaper."""
-    return pieces(F.lower(text), SEPARATOR)
-
-
-def _hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def loose_hashes(text: Column) -> Column:
+    """Hash of each word with all its letters lower-cased. Lower-casing may
+    look at neighbouring letters (a final sigma), so every word is lower-cased
+    by itself: equal ``bench_words`` have equal hashes, at a lower price than
+    a translation of whole texts."""
+    return F.transform(pieces(text, UNFOLDED), lambda w: F.xxhash64(F.lower(w)))
 
 
 def winnow(hashes: Column, k: int, window: int) -> Column:
@@ -77,17 +76,17 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc: str = "doc_id", text:
     windows = cut(windows.select("item_id", "r.len", "r.h", "r.g").distinct())
     short = sorted(r[0] for r in windows.where(F.col("len") < window).select("len").distinct().collect())
 
-    loose = bench.select(loose_words(F.col(item_text)).alias("w")).select("w", _hashes(F.col("w")).alias("wh"))
-    prints = loose.where(F.size("w") >= window).select(F.explode(winnow(F.col("wh"), k, window)).alias("fp"))
+    loose = bench.select(loose_hashes(F.col(item_text)).alias("wh"))
+    prints = loose.where(F.size("wh") >= window).select(F.explode(winnow(F.col("wh"), k, window)).alias("fp"))
     if short:
-        whole = loose.where(F.size("w").between(1, window - 1)).select(F.xxhash64("wh").alias("fp"))
+        whole = loose.where(F.size("wh").between(1, window - 1)).select(F.xxhash64("wh").alias("fp"))
         prints = prints.union(whole)
     prints = cut(prints.distinct())
 
     keyed = docs.select(*row_key(doc, text), F.col(text).alias("text"))
-    found = let(loose_words(F.col("text")), lambda w: let(_hashes(w), lambda wh: F.struct(
-        F.size(w).cast("bigint").alias("n_words"),
-        F.concat(winnow(wh, k, window), *[grams(wh, m) for m in short]).alias("fps"))))
+    found = let(loose_hashes(F.col("text")), lambda wh: F.struct(
+        F.size(wh).cast("bigint").alias("n_words"),
+        F.concat(winnow(wh, k, window), *[grams(wh, m) for m in short]).alias("fps")))
     # every document's word count and the documents that hold a fingerprint
     # come from one pass: the count rides along as a row without fingerprint
     counted = keyed.select("doc_id", "th", found.alias("f")).select(
@@ -109,9 +108,14 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc: str = "doc_id", text:
         F.greatest(a["end"], s["pos"] + s["len"]).alias("end"),
         (a["n"] + F.greatest(F.lit(0), s["pos"] + s["len"] - F.greatest(a["end"], s["pos"]))).alias("n")), lambda a: a["n"])
     n_hit = hits.groupBy("doc_id", "th").agg(spans.alias("spans")).select("doc_id", "th", covered.alias("n_hit"))
-    pairs = hits.select("doc_id", "th", "len", "h", "g").distinct().join(small(windows, BROADCAST_ROWS), ["len", "h", "g"])
-    ids = pairs.select("doc_id", "th", "item_id").where("item_id is not null").distinct() \
-        .groupBy("doc_id", "th").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    # windows held by the same items are one class: a document meets the set
+    # of items once, however many of its windows it holds
+    sets = windows.where("item_id is not null").groupBy("len", "h", "g").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    sets = cut(sets.withColumns({"set": F.xxhash64("items"), "set2": F.hash(F.size("items"), F.col("items"))}))
+    classes = cut(sets.dropDuplicates(["set", "set2"]).select("set", "set2", "items"))
+    pairs = hits.join(small(sets.drop("items"), BROADCAST_ROWS), ["len", "h", "g"]).select("doc_id", "th", "set", "set2").distinct()
+    ids = pairs.join(classes, ["set", "set2"]).groupBy("doc_id", "th").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"))
     out = on_key(on_key(per_row, n_hit), ids)
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.select("doc_id", "th", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),

@@ -54,10 +54,7 @@ def op6_quality(spark, sf_dir):
 
 
 def op7_bpe(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = tokenizer_file()
-    encoded = bpe.bpe_encode(docs, path).drop("text")
-    return bpe.bpe_decode(encoded, path).select("doc_id", *bpe.digests())
+    return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_file)
 
 
 def op8_lines(spark, sf_dir):

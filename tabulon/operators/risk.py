@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabulon.functions.rng import fast_uniform, std_normal
+from tabulon.functions.rng import counter_normals, fast_uniform
 from tabulon.functions.stats import signed_sqrt, signed_square
-from tabulon.session import held
+from tabulon.operators.windows import dense_index
+from tabulon.session import cut, held
 
 
 # ---------------------------------------------------------------- features
@@ -75,42 +76,47 @@ def covariance_long(fm: DataFrame, n_factors: int) -> DataFrame:
 def ols_per_group(y: DataFrame, key: str, idx: str, yv: str, features: DataFrame) -> DataFrame:
     """(key, pos, coef): least squares of y on x per key, intercept at pos 0.
 
-    The normal equations are summed by Spark (X'X and X'y entries per key,
-    partially aggregated before the shuffle, so a long or hot key never sits
-    in one task); only the small (p x p) system of each key is solved, in a
-    grouped pandas function whose group holds p*p + p rows."""
-    j = y.select(key, idx, yv).join(features, idx)
-    xx = j.select(key, F.posexplode(F.flatten(F.transform("x", lambda a: F.transform("x", lambda b: a * b))))
-                  .alias("pos", "v"), F.lit("xx").alias("part"))
-    xy = j.select(key, F.posexplode(F.transform("x", lambda a: a * F.col(yv))).alias("pos", "v"),
-                  F.lit("xy").alias("part"))
-    sums = xx.unionByName(xy).groupBy(key, "part", "pos").agg(F.sum("v").alias("v"))
-
-    def solve(pdf):
+    A multi-response system: keys observed at the same dates share one design.
+    A key's dates are known by their count and two hash sums; each design is
+    summed once, from the dates of its smallest key (one aggregate of the
+    upper triangle, no row per entry), and inverted once; the right-hand
+    sides X'y are one aggregate of p sums per key; a key's coefficients are
+    the products of the two. Singular designs give the least-norm solution.
+    Dates without a response or without features are left out; a date given
+    twice for a key counts once in its design and is an error of the input."""
+    p = features.select(F.size("x").alias("p")).first()
+    out = y.schema[key].dataType.simpleString()
+    if p is None:
+        return y.sparkSession.createDataFrame([], f"`{key}` {out}, pos BIGINT, coef DOUBLE")
+    p = p["p"]
+    x = features.select(F.col(idx).alias("_i"), F.col("x").alias("_x"))
+    j = y.where(F.col(yv).isNotNull()).select(F.col(key).alias("_k"), F.col(idx).alias("_i"), F.col(yv).alias("_y")).join(x, "_i")
+    sums = [F.sum(F.col("_x")[i] * F.col("_y")).alias(f"b{i}") for i in range(p)]
+    dates = [F.count(F.lit(1)).alias("d0"), F.sum(F.xxhash64("_i").cast("decimal(38,0)")).alias("d1"), F.sum(F.hash("_i").cast("bigint")).alias("d2")]
+    keys = cut(j.groupBy("_k").agg(*dates, *sums))
+    own = ["d0", "d1", "d2"]
+    designs = keys.groupBy(*own).agg(F.min("_k").alias("_k"))
+    pairs = [(a, b) for a in range(p) for b in range(a, p)]
+    upper = j.join(designs, "_k").groupBy(*own).agg(*[F.sum(F.col("_x")[a] * F.col("_x")[b]).alias(f"m{a}_{b}") for a, b in pairs])
+
+    def invert(parts):
         import pandas as pd
-        xxp = pdf[pdf.part == "xx"].sort_values("pos")["v"].to_numpy()
-        xyp = pdf[pdf.part == "xy"].sort_values("pos")["v"].to_numpy()
-        p = len(xyp)
-        a = xxp.reshape(p, p)
-        coef = np.linalg.lstsq(a, xyp, rcond=None)[0]
-        return pd.DataFrame({key: pdf[key].iloc[0], "pos": np.arange(p, dtype="int64"), "coef": coef})
-
-    key_type = y.schema[key].dataType.simpleString()
-    return sums.groupBy(key).applyInPandas(solve, f"{key} {key_type}, pos BIGINT, coef DOUBLE")
-
-
-def simple_regression_weights(y: DataFrame, key: str, idx: str, yv: str, fm: DataFrame, factor: int,
-                              n_factors: int) -> DataFrame:
-    """(key, pos, coef) of a one-factor least-squares fit on the raw return of
-    ``factor`` (intercept at 0, slope at the raw-feature position); all other
-    feature weights zero. SQL-expressible, so it serves exact checks."""
-    j = y.select(key, idx, yv).join(fm.select(idx, F.col(f"f{factor}").alias("_x")), idx)
-    g = j.groupBy(key).agg(F.regr_intercept(yv, "_x").alias("b0"), F.regr_slope(yv, "_x").alias("b1"))
-    raw_pos = 1 + 2 * n_factors + factor
-    return g.select(key, F.explode(F.array(F.struct(F.lit(0).cast("bigint").alias("pos"), F.col("b0").alias("coef")),
-                                           F.struct(F.lit(raw_pos).cast("bigint").alias("pos"),
-                                                    F.col("b1").alias("coef")))).alias("w")) \
-            .select(key, "w.pos", "w.coef")
+
+        for pdf in parts:  # one row per design
+            inverses = []
+            for row in pdf[[f"m{a}_{b}" for a, b in pairs]].to_numpy(float):
+                m = np.zeros((p, p))
+                for (a, b), v in zip(pairs, row):
+                    m[a, b] = m[b, a] = v
+                scale = 1 / np.sqrt(np.where(np.diag(m) > 0, np.diag(m), 1.0))  # columns of one length
+                inverses.append((np.linalg.pinv(m * scale * scale[:, None], rcond=1e-13, hermitian=True) * scale * scale[:, None]).tolist())
+            yield pd.DataFrame({**{c: pdf[c] for c in own}, "inv": inverses})
+
+    inverse = upper.mapInPandas(invert, "d0 bigint, d1 decimal(38,0), d2 bigint, inv array<array<double>>")
+    rhs = F.array(*[f"b{i}" for i in range(p)])
+    coefs = F.transform("inv", lambda r: F.aggregate(F.zip_with(r, rhs, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+    solved = keys.join(inverse, own).select(F.col("_k").alias(key), F.posexplode(coefs).alias("pos", "coef"))
+    return solved.select(key, F.col("pos").cast("bigint").alias("pos"), "coef")
 
 
 def mean_weights(weights: DataFrame, n_pos: int) -> list[float] | None:
@@ -145,8 +151,7 @@ def factor_scenarios(spark, means, cov, num_trials: int, seed: int, partitions:
     n = len(means)
     chol = cholesky(cov)
     t = spark.range(0, num_trials, 1, partitions).withColumnRenamed("id", "trial_id")
-    z = [std_normal(seed, "trial_id", F.lit(i)) for i in range(n)]
-    t = t.select("trial_id", *[zi.alias(f"z{i}") for i, zi in enumerate(z)])
+    t = counter_normals(t, seed, "trial_id", n)
     cols = []
     for i in range(n):
         e = F.lit(float(means[i]))
@@ -177,7 +182,14 @@ def value_histogram(df: DataFrame, col: str, lo: float, hi: float, buckets: int)
     return sorted(rows.collect(), key=lambda r: r["b"])
 
 
-def k_smallest_summary(df: DataFrame, col: str, k: int, buckets: int = 4096, few: int = 20_000) -> tuple[float, float]:
+def value_range(df: DataFrame, col: str) -> tuple[int, float, float]:
+    """(rows with a value, least, largest) in one pass."""
+    r = df.agg(F.count(col).alias("n"), F.min(F.col(col).cast("double")).alias("lo"), F.max(F.col(col).cast("double")).alias("hi")).first()
+    return r["n"], r["lo"], r["hi"]
+
+
+def k_smallest_summary(df: DataFrame, col: str, k: int, buckets: int = 4096, few: int = 20_000,
+                       given: tuple[int, float, float] | None = None) -> tuple[float, float]:
     """Exact (k-th smallest value, sum of the k smallest) without sorting the
     table or gathering it in one task.
 
@@ -185,13 +197,13 @@ def k_smallest_summary(df: DataFrame, col: str, k: int, buckets: int = 4096, few
     holds rank k becomes the range, until it holds ``few`` rows at most,
     which come to the driver as values with counts, or one value only, which
     counts as value times count. Every round narrows: the least and the most
-    value of a range lie in different buckets. (nan, nan) for no rows."""
+    value of a range lie in different buckets. ``given`` is the table's
+    ``value_range``, if it is known. (nan, nan) for no rows."""
     x = F.col(col)
     band = df.where(x.isNotNull()).select(x.cast("double").alias(col))
-    r = band.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if r["n"] == 0 or k <= 0:
+    m, lo, hi = given or value_range(band, col)
+    if m == 0 or k <= 0:
         return float("nan"), float("nan")
-    m, lo, hi = r["n"], r["lo"], r["hi"]
     rank, below = min(k, m), 0.0
     while m > few and lo < hi:
         for b in value_histogram(band, col, lo, hi, buckets):
@@ -223,15 +235,16 @@ def k_smallest_rows(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:
 
 def value_at_risk(trials: DataFrame, col: str = "ret") -> DataFrame:
     """(k, var, cvar): the largest of the lowest k = max(n / 20, 1) values,
-    and their mean; no row for no trials."""
+    and their mean; no row for no trials. Three passes: count and range, one
+    histogram, the rows of the bucket that holds rank k."""
     spark = trials.sparkSession
     schema = "k BIGINT, var DOUBLE, cvar DOUBLE"
     with held(trials.select(col)) as t:
-        n = t.count()
-        if n == 0:
+        found = value_range(t, col)
+        if found[0] == 0:
             return spark.createDataFrame([], schema)
-        k = max(n // 20, 1)
-        kth, s = k_smallest_summary(t, col, k)
+        k = max(found[0] // 20, 1)
+        kth, s = k_smallest_summary(t, col, k, given=found)
     return spark.createDataFrame([(int(k), kth, s / k)], schema)
 
 
@@ -259,61 +272,122 @@ def bootstrap_weights(trials: DataFrame, seed: int, replicates: int, id_col: str
     return r.withColumn("weight", poisson1(F.col("_u"))).drop("_u")
 
 
-def tail_range(df: DataFrame, col: str) -> tuple[float, float]:
-    """About the 3% and the 7% quantile, from a histogram: the range around
-    every replicate's 5% rank. It steers the amount of work only, never the
-    result."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if not r["n"] or r["lo"] == r["hi"]:
-        return 0.0, 0.0
-    seen, start, end = 0, None, r["hi"]
-    for b in value_histogram(df, col, r["lo"], r["hi"], 4096):
-        seen += b["n"]
-        if start is None and seen >= 0.03 * r["n"]:
-            start = b["least"]
-        if seen >= 0.07 * r["n"]:
-            end = b["most"]
-            break
-    return start, end
+def tail_bands(df: DataFrame, col: str, tail: float) -> tuple[list[tuple[float, float, int]], tuple[float, float]]:
+    """Bands (least, largest, rows) of the values from the lowest up, and the
+    part of the first that surely holds most replicates' ranks (about the 3%
+    to the 7% quantile). The first band holds the share ``tail`` of the rows
+    at least, the next a quarter, the last the rest. From one histogram; it
+    steers the work, never the law of the result."""
+    n, lo, hi = value_range(df, col)
+    if not n or lo == hi or tail >= 1:
+        return ([(lo, hi, n)] if n else []), (lo or 0.0, hi or 0.0)
+    bands, seen, count, fine, first, ends = [], 0, 0, [None, None], None, [tail, max(tail, 0.25), 2.0]
+    rows = value_histogram(df, col, lo, hi, 4096)
+    for b in rows:
+        first = b["least"] if first is None else first
+        seen, count = seen + b["n"], count + b["n"]
+        if fine[0] is None and seen >= 0.03 * n:
+            fine[0] = b["least"]
+        if fine[1] is None and seen >= 0.07 * n:
+            fine[1] = b["most"]
+        if seen >= ends[len(bands)] * n or b is rows[-1]:
+            bands.append((first, b["most"], count))
+            first, count = None, 0
+    return bands, (fine[0], fine[1])
+
+
+def tail_of_weighted(draw, rows: DataFrame, totals: dict[int, int], fine: tuple[float, float], cuts: int = 200) -> list:
+    """Rows (replicate, n, k, var, cvar) of the replicates whose rank k =
+    max(n / 20, 1) lies in ``draw(rows)`` (replicate, _x, weight), which holds
+    the lowest values of each; n is the replicate's size from ``totals``.
+
+    Values are cut into ordered buckets, fine over the range ``fine``; one
+    pass sums the weights per (replicate, bucket), a running sum over these
+    few rows finds the bucket of rank k, and only the rows of such buckets
+    are drawn again, summed per value (ties are one row) and ordered: no task
+    holds more than one bucket. ``draw`` gives the same weights every time."""
+    spark = rows.sparkSession
+    start, end = fine
+    step = F.floor((F.col("_x") - F.lit(start)) / F.lit((end - start) or 1.0) * cuts).cast("int")
+    bucket = F.when(F.col("_x") < start, -1).when(F.col("_x") >= end, cuts).otherwise(F.least(step, F.lit(cuts - 1)))
+    rows = rows.withColumn("_b", bucket)
+    order = Window.partitionBy("replicate").orderBy("_b")
+    sizes = F.broadcast(spark.createDataFrame([(r, int(n), max(int(n) // 20, 1)) for r, n in totals.items()], "replicate INT, n BIGINT, k BIGINT"))
+    sums = draw(rows).groupBy("replicate", "_b").agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("_x")).alias("s"))
+    per = sums.join(sizes, "replicate").select("replicate", "n", "k", "_b", "w", (F.sum("w").over(order) - F.col("w")).alias("before"),
+                                               (F.sum("s").over(order) - F.col("s")).alias("s_before"))
+    hits = per.where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("w"))).drop("w")
+    with held(hits) as hit:  # one row per replicate
+        inner = rows.join(F.broadcast(hit.select("_b").distinct()), "_b", "left_semi")
+        drawn = draw(inner).join(F.broadcast(hit), ["replicate", "_b"])
+        keys = ["replicate", "n", "k", "before", "s_before"]
+        drawn = drawn.groupBy(*keys, "_x").agg(F.sum("weight").alias("w"))
+        prev = F.col("before") + F.sum("w").over(Window.partitionBy("replicate").orderBy("_x")) - F.col("w")
+        drawn = drawn.withColumn("prev", prev).where("prev < k")
+        take = F.least(F.col("w"), F.col("k") - F.col("prev"))
+        out = drawn.groupBy(*keys).agg(F.max("_x").alias("var"), F.sum(take * F.col("_x")).alias("s"))
+        out = out.select("replicate", "n", "k", "var", ((F.col("s_before") + F.col("s")) / F.col("k")).alias("cvar"))
+        return [tuple(r) for r in out.collect()]  # as many rows as replicates
+
+
+def spread_draws(rows: DataFrame, counts: dict[int, int], seed: int) -> DataFrame:
+    """(replicate, _x, weight): per replicate ``counts`` draws with
+    replacement among ``rows(_id, _x)`` -- the weights of the rows given
+    their sum, which Poisson weights have as well."""
+    spark = rows.sparkSession
+    numbered = dense_index(rows.select(F.struct("_x", "_id").alias("_row")), "_row", "_at")
+    size = numbered.agg((F.max("_at") + 1).alias("n")).first()["n"]
+    picks = None
+    for r, c in counts.items():
+        at = F.floor(fast_uniform(seed, F.lit(r), F.col("id")) * F.lit(size)).cast("bigint")
+        more = spark.range(int(c)).select(F.lit(r).cast("int").alias("replicate"), at.alias("_at"))
+        picks = more if picks is None else picks.unionByName(more)
+    drawn = picks.groupBy("replicate", "_at").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    return drawn.join(numbered, "_at").select("replicate", F.col("_row._x").alias("_x"), "weight")
 
 
 def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str = "ret",
-                         id_col: str = "trial_id", cuts: int = 200) -> DataFrame:
+                         id_col: str = "trial_id", cuts: int = 200, tail: float = 0.07) -> DataFrame:
     """(replicate, n, k, var, cvar) of each bootstrap replicate.
 
     Per replicate, k = max(n_b / 20, 1) of the resampled multiset; VaR is its
-    k-th smallest value, CVaR the mean of the k smallest. Returns are cut
-    into ordered buckets (fine around the 5% quantile, where every
-    replicate's rank falls); one pass sums weights per (replicate, bucket),
-    a running sum over these few rows finds the bucket that holds rank k, and
-    only the rows of such buckets are weighted again, summed per value (ties
-    are one row) and ordered: no task holds more than one bucket."""
+    k-th smallest value, CVaR the mean of the k smallest. Each row's weight
+    is Poisson(1); the sum of the weights of m rows is Poisson(m). So only
+    the rows of the lowest band (``tail_bands``) are drawn singly; a higher
+    band of m rows contributes one Poisson(m) draw per replicate to n_b. A
+    replicate whose rank lies beyond the lowest band widens it: the next
+    band's draw is spread over its rows, each equally likely, which is the law
+    of Poisson weights given their sum. The joint law is that of single
+    draws for all rows (``tail`` = 1 draws them so); an empty replicate
+    (possible for a handful of rows only) has no row."""
+    spark = trials.sparkSession
     base = trials.select(F.col(id_col).alias("_id"), F.col(col).cast("double").alias("_x")).where("_x is not null")
-    order = Window.partitionBy("replicate").orderBy("_b")
+    found: list = []
     with held(base) as rows:
-        start, end = tail_range(rows, "_x")
-        step = F.floor((F.col("_x") - F.lit(start)) / F.lit((end - start) or 1.0) * cuts).cast("int")
-        bucket = F.when(F.col("_x") < start, -1).when(F.col("_x") >= end, cuts).otherwise(F.least(step, F.lit(cuts - 1)))
-        rows = rows.withColumn("_b", bucket)
-        sums = bootstrap_weights(rows, seed, replicates, "_id").groupBy("replicate", "_b").agg(
-            F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("_x")).alias("s"))
-        size = F.sum("w").over(Window.partitionBy("replicate"))
-        per = sums.select("replicate", "_b", "w", size.alias("n"), (F.sum("w").over(order) - F.col("w")).alias("before"),
-                          (F.sum("s").over(order) - F.col("s")).alias("s_before"))
-        per = per.withColumn("k", F.greatest(F.floor(F.col("n") / 20), F.lit(1)).cast("bigint"))
-        hits = per.where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("w"))).drop("w")
-        with held(hits) as hit:  # one row per replicate
-            inner = rows.join(F.broadcast(hit.select("_b").distinct()), "_b", "left_semi")
-            drawn = bootstrap_weights(inner, seed, replicates, "_id").join(F.broadcast(hit), ["replicate", "_b"])
-            keys = ["replicate", "n", "k", "before", "s_before"]
-            drawn = drawn.groupBy(*keys, "_x").agg(F.sum("weight").alias("w"))
-            prev = F.col("before") + F.sum("w").over(Window.partitionBy("replicate").orderBy("_x")) - F.col("w")
-            drawn = drawn.withColumn("prev", prev).where("prev < k")
-            take = F.least(F.col("w"), F.col("k") - F.col("prev"))
-            out = drawn.groupBy(*keys).agg(F.max("_x").alias("var"), F.sum(take * F.col("_x")).alias("s"))
-            out = out.select("replicate", "n", "k", "var", ((F.col("s_before") + F.col("s")) / F.col("k")).alias("cvar"))
-            found = out.collect()  # as many rows as replicates
-    return trials.sparkSession.createDataFrame(found, "replicate INT, n BIGINT, k BIGINT, var DOUBLE, cvar DOUBLE")
+        bands, fine = tail_bands(rows, "_x", tail)
+        higher = {r: [int(np.random.Generator(np.random.Philox(key=[seed, r * 8 + b])).poisson(m)) for b, (_, _, m) in enumerate(bands[1:])]
+                  for r in range(replicates)}
+
+        def draw(part):
+            return bootstrap_weights(part, seed, replicates, "_id")
+
+        if bands:
+            low = rows.where(F.col("_x") <= F.lit(bands[0][1]))
+            single = {r["replicate"]: r["w"] for r in draw(low).groupBy("replicate").agg(F.sum("weight").alias("w")).collect()}
+            totals = {r: single.get(r, 0) + sum(higher[r]) for r in range(replicates)}
+            totals = {r: n for r, n in totals.items() if n}
+            found = tail_of_weighted(draw, low, totals, fine, cuts)
+        weighted = None
+        for b, (least, most, _) in enumerate(bands[1:]):
+            open_ = {r: n for r, n in totals.items() if r not in {f[0] for f in found}}
+            if not open_:
+                break
+            part = rows.where(F.col("_x").between(F.lit(least), F.lit(most)))
+            more = spread_draws(part, {r: higher[r][b] for r in open_}, seed + 1 + b)
+            before = draw(low).select("replicate", "_x", "weight") if weighted is None else weighted
+            weighted = cut(before.where(F.col("replicate").isin(list(open_))).unionByName(more))
+            found += tail_of_weighted(lambda t: t, weighted, open_, (least, most), cuts)
+    return spark.createDataFrame(found, "replicate INT, n BIGINT, k BIGINT, var DOUBLE, cvar DOUBLE")
 
 
 def bootstrap_interval(stats: DataFrame, stat: str, p: float, replicates: int) -> DataFrame:
@@ -378,10 +452,10 @@ def kupiec_test(counts: DataFrame, confidence: float) -> DataFrame:
 # ---------------------------------------------------------------- density
 def sample_range_and_bandwidth(samples: DataFrame, col: str) -> tuple[float, float, float]:
     """(min, max, h) with Silverman's h = 1.06 * population stdev * n^(-1/5);
-    one aggregate pass, three numbers to the driver."""
+    one aggregate pass, three numbers to the driver, nulls for no samples."""
     r = samples.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
                     (F.lit(1.06) * F.stddev_pop(col) * F.pow(F.count(col), -0.2)).alias("h")).first()
-    return float(r["lo"]), float(r["hi"]), float(r["h"])
+    return r["lo"], r["hi"], r["h"]
 
 
 def density_grid(lo: float, hi: float, steps: int = 100) -> Column:
@@ -390,16 +464,52 @@ def density_grid(lo: float, hi: float, steps: int = 100) -> Column:
                        lambda i: F.round(F.lit(lo) + i * (F.lit(hi) - F.lit(lo)) / F.lit(float(steps)), 5))
 
 
-def kde_density(samples: DataFrame, col: str, points: Column, bandwidth: float) -> DataFrame:
+KDE_BIN, KDE_ORDER = 0.125, 8   # bin width in bandwidths, highest power kept
+
+
+def kde_error_bound(bandwidth: float, width: float = KDE_BIN, order: int = KDE_ORDER) -> float:
+    """Largest difference of ``kde_density`` from the direct sum: the next
+    Taylor term, with Cramer's bound 1.0865 sqrt(m!) / sqrt(2 pi) on the m-th
+    derivative of the normal density."""
+    m = order + 1
+    return 1.0865 * (width / 2) ** m / math.sqrt(math.factorial(m)) / math.sqrt(2 * math.pi) / bandwidth
+
+
+def hermite(m: int) -> list[int]:
+    """Coefficients, lowest power first, of the m-th (probabilists')
+    Hermite polynomial."""
+    a, b = [1], [0, 1]
+    for k in range(1, m + 1):
+        a, b = b, [(b[j - 1] if j else 0) - (k * a[j] if j < len(a) else 0) for j in range(len(b) + 1)]
+    return a
+
+
+def kde_density(samples: DataFrame, col: str, points: Column, bandwidth: float, width: float = KDE_BIN,
+                order: int = KDE_ORDER) -> DataFrame:
     """(pos, point, density): Gaussian kernel density at each point of the
-    ``points`` array. Each sample adds its kernel values to all points as an
-    array; the arrays are summed position-wise by a partially aggregated
-    group-by -- no cross join, one row per point per task crosses the shuffle."""
-    h = F.lit(float(bandwidth))
-    x = F.col(col)
-    norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
-    contrib = F.transform(points, lambda p: norm * F.exp(-0.5 * ((p - x) / h) * ((p - x) / h)) / h)
-    e = samples.where(x.isNotNull()).select(F.posexplode(contrib).alias("pos", "k"))
-    g = e.groupBy("pos").agg(F.sum("k").alias("s"), F.count(F.lit(1)).alias("n"))
-    return g.select("pos", F.element_at(points, F.col("pos") + 1).alias("point"),
-                    (F.col("s") / F.col("n")).alias("density"))
+    ``points`` array, from mergeable sums: samples fall into bins of ``width``
+    bandwidths, a bin keeps the powers 0 .. ``order`` of the distances d of
+    its samples from its centre, and the kernel of a sample t bandwidths from
+    a point is phi(t) sum He_m(t) d^m / m!, exact but for the terms beyond
+    ``order`` (``kde_error_bound``). So only bins meet points: their number
+    depends on the range of the samples in bandwidths, not on their count.
+    Null samples are left out."""
+    h = float(bandwidth)
+    at = F.floor(F.col(col) / F.lit(h * width))
+    d = F.col(col) / F.lit(h) - (F.col("_bin") + 0.5) * F.lit(width)
+    binned = samples.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias(col)).withColumn("_bin", at)
+    power = binned.select("_bin", d.alias("_d"))
+    sums = [F.count(F.lit(1)).cast("double").alias("p0"), *[F.sum(F.pow("_d", F.lit(float(m)))).alias(f"p{m}") for m in range(1, order + 1)]]
+    bins = cut(power.groupBy("_bin").agg(*sums))
+    # coefficients of the powers of t: sum over m of He_m's times p_m / m!
+    poly = [[(F.col(f"p{m}") * F.lit(hermite(m)[j] / math.factorial(m))) for m in range(j, order + 1) if hermite(m)[j]] for j in range(order + 1)]
+    coef = [sum(terms[1:], terms[0]) for terms in poly]
+    centre = (F.col("_bin") + 0.5) * F.lit(h * width)
+    each = bins.select(centre.alias("_c"), F.col("p0").alias("_n"), *[c.alias(f"c{j}") for j, c in enumerate(coef)], F.posexplode(points).alias("pos", "point"))
+    each = each.withColumn("_t", (F.col("point") - F.col("_c")) / F.lit(h))
+    value = F.col(f"c{order}")
+    for j in range(order - 1, -1, -1):
+        value = value * F.col("_t") + F.col(f"c{j}")
+    kernel = F.lit(1.0 / math.sqrt(2.0 * math.pi) / h) * F.exp(F.lit(-0.5) * F.col("_t") * F.col("_t")) * value
+    g = each.select("pos", "point", "_n", kernel.alias("_v")).groupBy("pos", "point").agg(F.sum("_v").alias("s"), F.sum("_n").alias("n"))
+    return g.select("pos", "point", (F.col("s") / F.col("n")).alias("density"))

@@ -61,8 +61,14 @@ def region_edges_sql() -> str:
             ") AS r(code, name, area, x1, y1, x2, y2)")
 
 
+def kept(sql: str) -> str:
+    """A CTE that is computed once, however often it is read."""
+    return "MATERIALIZED " + sql
+
+
 def with_ctes(body: str, **ctes: str) -> str:
-    parts = ",\n".join(f"{k} AS ({v})" for k, v in ctes.items())
+    parts = ",\n".join(f"{k} AS MATERIALIZED ({v.removeprefix('MATERIALIZED ')})" if v.startswith("MATERIALIZED ") else f"{k} AS ({v})"
+                       for k, v in ctes.items())
     return f"WITH {parts}\n{body}"
 
 

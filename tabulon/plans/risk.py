@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.rng import duck_std_normal_sql
+from tabulon.functions.rng import duck_counter_normals_sql
 from tabulon.operators import risk as R
 from tabulon.operators import timeseries as TS
 from tabulon.operators.clean import filter_min_count
@@ -16,7 +16,7 @@ from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
 from tabulon.sources.files import parse_price_csv
 from tabulon.sources.text import parse_price_tsv
-from tabulon.session import cut, held
+from tabulon.session import cut, held, written
 
 START, END = "1995-06-01", "2000-06-01"     # five years, both Thursdays
 MIN_HISTORY = 260 * 5 + 10
@@ -25,6 +25,7 @@ NF = len(FACTORS)
 NUM_TRIALS, PARALLELISM, SEED = 10_000_000, 1_000, 1001
 REPLICATES, P_VALUE, BOOT_SEED = 100, 0.05, 2024
 CONFIDENCE = 0.05
+WEIGHT_DIGITS = 8
 
 
 def _fmt(v):
@@ -79,14 +80,16 @@ def factor_matrix(spark, sf_dir):
     return R.factor_matrix(r, "series", "idx", "ret", FACTORS)
 
 
-def model_1f(spark, sf_dir):
-    """Trials and their portfolio returns, with one-factor regression weights
-    (exactly checkable)."""
+def model(spark, sf_dir):
+    """Trials and their portfolio returns under the full factor model: the
+    regression of every instrument on the twelve features and an intercept.
+    The mean weights are rounded to ``WEIGHT_DIGITS`` places, so that both
+    engines of a check run the trials of one and the same model."""
     with held(factor_matrix(spark, sf_dir)) as fm:
         means, cov = R.covariance(fm, NF)
-        w = R.simple_regression_weights(instrument_returns(spark, sf_dir), "series", "idx", "ret", fm, 0, NF)
-        with held(w) as weights:
-            wbar = R.mean_weights(weights, 1 + 3 * NF)
+        weights = cut(R.ols_per_group(instrument_returns(spark, sf_dir), "series", "idx", "ret", R.feature_table(fm, "idx", NF)))
+        wbar = R.mean_weights(weights, 1 + 3 * NF)
+    wbar = wbar and [math.floor(w * 10**WEIGHT_DIGITS + 0.5) / 10**WEIGHT_DIGITS for w in wbar]
     trials = R.factor_scenarios(spark, means, cov, NUM_TRIALS, SEED, PARALLELISM, NF)
     return trials, R.portfolio_trial_returns(trials, wbar, NF)
 
@@ -149,53 +152,58 @@ def q_ols_per_group(spark, sf_dir):
 
 
 def _per_part(trials, cols):
-    """Per part of the trial range: rows, and mean, least and largest of each
-    column -- the whole trial table checked in as many rows as it has parts."""
+    """Per part of the trial range: rows, and mean, least, largest and a
+    checksum (rounded values times a weight of the trial) of each column --
+    every trial checked in as many rows as the range has parts."""
     per = NUM_TRIALS // PARALLELISM
     aggs = [f(c).alias(f"{c}_{n}") for c in cols for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))]
+    aggs += [F.sum(F.floor(F.col(c) * 1e5 + 0.5) * (F.col("trial_id") % 1009 + 1)).alias(f"{c}_sum") for c in cols]
     g = trials.groupBy((F.col("trial_id") / per).cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("n"), *aggs)
-    return g.select("part", "n", *[F.round(f"{c}_{n}", 6).alias(f"{c}_{n}") for c in cols for n in ("mean", "min", "max")])
+    return g.select("part", "n", *[F.round(f"{c}_{n}", 6).alias(f"{c}_{n}") for c in cols for n in ("mean", "min", "max")], *[f"{c}_sum" for c in cols])
 
 
 def q_factor_scenarios(spark, sf_dir):
-    trials, _ = model_1f(spark, sf_dir)
+    trials, _ = model(spark, sf_dir)
     return _per_part(trials, [f"f{i}" for i in range(NF)])
 
 
 def q_portfolio_trial_returns(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
+    _, ret = model(spark, sf_dir)
     return _per_part(ret, ["ret"])
 
 
 def q_smallest_fraction(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
-    n = NUM_TRIALS if not ret.isEmpty() else 0
-    if n == 0:
-        return ret.select("trial_id", "ret")
-    low = R.k_smallest_rows(ret, "ret", max(n // 20, 1), "trial_id")
-    return low.select("trial_id", F.round("ret", 6).alias("ret"))
+    """The lowest 5% of the trials, by return in millionths and trial id:
+    what lies closer together is a tie, so that the last digits of a
+    floating-point return never decide who belongs."""
+    _, ret = model(spark, sf_dir)
+    ret = written(ret.select("trial_id", F.floor(F.col("ret") * 1e6 + 0.5).alias("micro")))
+    n = ret.count()
+    low = R.k_smallest_rows(ret, "micro", max(n // 20, 1), "trial_id") if n else ret
+    return low.select("trial_id", (F.col("micro") / F.lit(1e6)).alias("ret"))
+
+
+def _var(spark, sf_dir):
+    _, ret = model(spark, sf_dir)
+    return R.value_at_risk(ret)
 
 
 def q_value_at_risk(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
-    v = R.value_at_risk(ret)
-    return v.select("k", F.round("var", 6).alias("var"))
+    return _var(spark, sf_dir).select("k", F.round("var", 6).alias("var"))
 
 
 def q_conditional_var(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
-    v = R.value_at_risk(ret)
-    return v.select("k", F.round("cvar", 6).alias("cvar"))
+    return _var(spark, sf_dir).select("k", F.round("cvar", 6).alias("cvar"))
 
 
 def _boot(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
+    _, ret = model(spark, sf_dir)
     return R.bootstrap_tail_stats(ret, BOOT_SEED, REPLICATES)
 
 
 def q_bootstrap_resample(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
-    w = R.bootstrap_weights(ret, BOOT_SEED, REPLICATES)
+    _, ret = model(spark, sf_dir)
+    w = R.bootstrap_weights(ret.select("trial_id"), BOOT_SEED, REPLICATES)
     return w.groupBy("replicate").agg(F.sum("weight").cast("bigint").alias("n"),
                                       F.count(F.lit(1)).alias("distinct_rows"))
 
@@ -211,8 +219,7 @@ def q_bootstrap_interval(spark, sf_dir):
 
 
 def _backtest(spark, sf_dir):
-    _, ret = model_1f(spark, sf_dir)
-    v = R.value_at_risk(ret).first()  # one number to the driver
+    v = _var(spark, sf_dir).first()  # one number to the driver
     port = instrument_returns(spark, sf_dir).groupBy("idx").agg(F.avg("ret").alias("ret"))
     return R.count_failures(port, "ret", v["var"] if v else None)
 
@@ -226,23 +233,24 @@ def q_kupiec_test(spark, sf_dir):
     return k.select("total", "failures", F.round("lr", 6).alias("lr"), F.round("p_value", 6).alias("p_value"))
 
 
-def _factor_samples(spark, sf_dir, i):
-    return factor_matrix(spark, sf_dir).select(F.col(f"f{i}").alias("x"))
-
-
-def _kde(spark, sf_dir, i):
-    s = _factor_samples(spark, sf_dir, i)
-    lo, hi, h = R.sample_range_and_bandwidth(s, "x")
-    return R.kde_density(s, "x", R.density_grid(lo, hi), h)
+def _kde(samples):
+    lo, hi, h = R.sample_range_and_bandwidth(samples, "x")
+    if lo is None:  # no samples
+        return samples.select(F.lit(0).alias("pos"), F.lit(0.0).alias("point"), F.lit(0.0).alias("density")).where(F.lit(False))
+    return R.kde_density(samples, "x", R.density_grid(lo, hi), h)
 
 
 def q_kde_density(spark, sf_dir):
-    d = _kde(spark, sf_dir, 2)
+    """Density of a factor's returns."""
+    d = _kde(factor_matrix(spark, sf_dir).select(F.col("f2").alias("x")))
     return d.select("pos", "point", F.round("density", 6).alias("density"))
 
 
 def q_density_grid(spark, sf_dir):
-    d = _kde(spark, sf_dir, 3)
+    """Density of the trial returns, all of them."""
+    _, ret = model(spark, sf_dir)
+    with held(ret.select(F.col("ret").alias("x"))) as samples:
+        d = _kde(samples)
     return d.select("pos", "point", F.round("density", 6).alias("density"))
 
 
@@ -326,13 +334,40 @@ def _chol_sql() -> str:
 
 
 def _scen_sql() -> str:
-    zs = ", ".join(f"{duck_std_normal_sql(SEED, 't.trial_id', f'={i}')} AS z{i}" for i in range(NF))
     fs = []
     for i in range(NF):
         terms = " + ".join(f"ch.l{i}_{k} * z{k}" for k in range(i + 1))
         fs.append(f"ch.m{i} + {terms} AS f{i}")
-    return (f"SELECT z.trial_id, {', '.join(fs)} FROM (SELECT t.trial_id, {zs} FROM range({NUM_TRIALS}) t(trial_id)) z, "
-            "chol ch")
+    z = duck_counter_normals_sql(f"SELECT range AS trial_id FROM range({NUM_TRIALS})", SEED, "trial_id", NF)
+    return f"SELECT z.trial_id, {', '.join(fs)} FROM ({z}) z, chol ch"
+
+
+def _feature_sql() -> list[str]:
+    """The features over f0 .., the intercept first."""
+    return ["1.0::DOUBLE", *[f"sign(f{i}) * f{i} * f{i}" for i in range(NF)], *[f"sign(f{i}) * sqrt(abs(f{i}))" for i in range(NF)],
+            *[f"f{i}" for i in range(NF)]]
+
+
+def _weight_ctes() -> dict:
+    """The mean weights: instruments observed at the same dates share one
+    design, so the mean of their regressions is the regression of their mean
+    return. Normal equations (i, j, v), the right-hand side as column P, and
+    one elimination step per CTE."""
+    feats = _feature_sql()
+    p = len(feats)
+    c = {"xl": duck.kept(" UNION ALL ".join(f"SELECT idx, {i} AS i, {e} AS v FROM fm" for i, e in enumerate(feats))),
+         "yb": duck.kept("SELECT idx, AVG(ret) AS y FROM i_ret GROUP BY idx"),
+         "g0": duck.kept("SELECT a.i, b.i AS j, SUM(a.v * b.v) AS v FROM xl a JOIN xl b ON a.idx = b.idx JOIN yb ON a.idx = yb.idx GROUP BY a.i, b.i "
+                         f"UNION ALL SELECT a.i, {p}, SUM(a.v * y) FROM xl a JOIN yb ON a.idx = yb.idx GROUP BY a.i")}
+    for k in range(p):
+        c[f"g{k + 1}"] = duck.kept(
+            f"SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / d.v ELSE a.v - r.v * t.v / d.v END AS v FROM g{k} a "
+            f"JOIN g{k} d ON d.i = {k} AND d.j = {k} JOIN g{k} r ON r.i = a.i AND r.j = {k} JOIN g{k} t ON t.i = {k} AND t.j = a.j")
+    c["wv"] = duck.kept("SELECT " + ", ".join(
+        f"MAX(CASE WHEN i = {i} THEN floor(v * {10**WEIGHT_DIGITS}::DOUBLE + 0.5::DOUBLE) / {10**WEIGHT_DIGITS}::DOUBLE END) AS w{i}" for i in range(p))
+        + f" FROM g{p} WHERE j = {p}")
+    c["tr"] = "SELECT s.trial_id, wv.w0 + " + " + ".join(f"wv.w{i} * ({e})" for i, e in enumerate(feats) if i) + " AS ret FROM scen s, wv"
+    return c
 
 
 def _ctes(**more) -> dict:
@@ -342,9 +377,7 @@ def _ctes(**more) -> dict:
     c["fm"] = _fm_sql()
     c["chol"] = _chol_sql()
     c["scen"] = _scen_sql()
-    c["w1"] = ("SELECT AVG(b0) AS w0, AVG(b1) AS w1 FROM (SELECT r.series, regr_intercept(r.ret, fm.f0) AS b0, "
-               "regr_slope(r.ret, fm.f0) AS b1 FROM i_ret r JOIN fm ON r.idx = fm.idx GROUP BY r.series) g")
-    c["tr"] = "SELECT s.trial_id, w1.w0 + w1.w1 * s.f0 AS ret FROM scen s, w1"
+    c.update(_weight_ctes())
     c["var"] = ("SELECT MAX(k) AS k, MAX(ret) AS var, SUM(ret) / MAX(k) AS cvar FROM (SELECT ret, "
                 "ROW_NUMBER() OVER (ORDER BY ret, trial_id) AS rn, GREATEST(COUNT(*) OVER () // 20, 1) AS k FROM tr) x "
                 "WHERE rn <= k")
@@ -357,7 +390,8 @@ def _q(body, **more):
 
 
 def _per_part_sql(table: str, cols: list[str]) -> str:
-    aggs = ", ".join(f"ROUND({f}({c}), 6) AS {c}_{n}" for c in cols for n, f in (("mean", "AVG"), ("min", "MIN"), ("max", "MAX")))
+    aggs = ", ".join([f"ROUND({f}({c}), 6) AS {c}_{n}" for c in cols for n, f in (("mean", "AVG"), ("min", "MIN"), ("max", "MAX"))]
+                     + [f"CAST(SUM(CAST(floor({c} * 1e5::DOUBLE + 0.5::DOUBLE) AS BIGINT) * (trial_id % 1009 + 1)) AS BIGINT) AS {c}_sum" for c in cols])
     return f"SELECT CAST(trial_id // {NUM_TRIALS // PARALLELISM} AS BIGINT) AS part, COUNT(*) AS n, {aggs} FROM {table} GROUP BY 1"
 
 
@@ -369,10 +403,10 @@ _LR = ("GREATEST(-2.0 * ((CASE WHEN total - failures = 0 THEN 0 ELSE (total - fa
        "CASE WHEN failures = 0 THEN 0 ELSE failures * ln(failures / total) END)), 0.0)").format(p=CONFIDENCE)
 
 
-def _kde_sql(i: int) -> str:
-    return (f"SELECT g.pos, g.point, ROUND(AVG(exp(-0.5 * ((g.point - s.x) / b.h) * ((g.point - s.x) / b.h)) / b.h "
-            f"* {1.0 / math.sqrt(2.0 * math.pi)!r}), 6) AS density FROM (SELECT f{i} AS x FROM fm) s, "
-            f"(SELECT 1.06 * STDDEV_POP(f{i}) * POWER(COUNT(f{i}), -0.2) AS h, MIN(f{i}) AS lo, MAX(f{i}) AS hi FROM fm) b, "
+def _kde_sql(samples: str) -> str:
+    return ("SELECT g.pos, g.point, ROUND(AVG(exp(-0.5::DOUBLE * ((g.point - s.x) / b.h) * ((g.point - s.x) / b.h)) / b.h "
+            f"* {1.0 / math.sqrt(2.0 * math.pi)!r}::DOUBLE), 6) AS density FROM ({samples}) s, "
+            f"(SELECT 1.06 * STDDEV_POP(x) * POWER(COUNT(x), -0.2) AS h, MIN(x) AS lo, MAX(x) AS hi FROM ({samples}) y) b, "
             "LATERAL (SELECT CAST(i AS INTEGER) AS pos, ROUND(b.lo + i * (b.hi - b.lo) / 100.0, 5) AS point "
             "FROM range(100) r(i)) g GROUP BY g.pos, g.point")
 
@@ -401,14 +435,14 @@ def oracle() -> dict:
             f"SELECT {i} AS i, {j} AS j, covar_samp(f{i}, f{j}) AS cov FROM fm" for i in range(NF) for j in range(NF)) + ") c"),
         "factor_scenarios": _q(_per_part_sql("scen", [f"f{i}" for i in range(NF)])),
         "portfolio_trial_returns": _q(_per_part_sql("tr", ["ret"])),
-        "smallest_fraction": _q("SELECT trial_id, ROUND(ret, 6) AS ret FROM tr ORDER BY ret, trial_id "
-                                f"LIMIT {max(NUM_TRIALS // 20, 1)}"),
+        "smallest_fraction": _q("SELECT trial_id, micro / 1000000.0::DOUBLE AS ret FROM (SELECT trial_id, CAST(floor(ret * 1000000.0::DOUBLE + 0.5::DOUBLE) "
+                                f"AS BIGINT) AS micro FROM tr) m ORDER BY micro, trial_id LIMIT {max(NUM_TRIALS // 20, 1)}"),
         "value_at_risk": _q("SELECT CAST(k AS BIGINT) AS k, ROUND(var, 6) AS var FROM var"),
         "conditional_var": _q("SELECT CAST(k AS BIGINT) AS k, ROUND(cvar, 6) AS cvar FROM var"),
         "count_failures": _q("SELECT total, CAST(failures AS BIGINT) AS failures FROM (" + _BT + ") b"),
         "kupiec_test": _q("SELECT total, CAST(failures AS BIGINT) AS failures, ROUND(lr, 6) AS lr, "
                           "ROUND(" + R.erfc_sql("sqrt(lr / 2.0)") + ", 6) AS p_value FROM (SELECT total, failures, "
                           + _LR + " AS lr FROM (" + _BT + ") b) k"),
-        "kde_density": _q(_kde_sql(2)),
-        "density_grid": _q(_kde_sql(3)),
+        "kde_density": _q(_kde_sql("SELECT f2 AS x FROM fm")),
+        "density_grid": _q(_kde_sql("SELECT x FROM sample"), sample=duck.kept("SELECT ret AS x FROM tr")),
     }

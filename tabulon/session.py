@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -92,3 +93,13 @@ def cut(df):
     folder: several readers share one computation, and nothing stays cached."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df):
+    """``df`` cut from its lineage by a Parquet table in the shared folder:
+    later passes read only the columns they need, and a filter above it meets
+    stored values instead of the expressions behind them."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -97,7 +97,7 @@ def test_bootstrap_tail_is_exact(spark):
     rng = np.random.default_rng(5)
     for x in (rng.normal(size=3000), np.full(3000, 0.25), np.round(rng.normal(size=900), 1), np.array([1.0])):
         df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(len(x)), "ret": x}))
-        got = {r["replicate"]: r for r in R.bootstrap_tail_stats(df, 9, 5).collect()}
+        got = {r["replicate"]: r for r in R.bootstrap_tail_stats(df, 9, 5, tail=1.0).collect()}
         w = R.bootstrap_weights(df, 9, 5).toPandas()
         for rep, part in w.groupby("replicate"):
             vals = np.sort(np.repeat(part["ret"].to_numpy(), part["weight"].to_numpy()))
@@ -107,6 +107,34 @@ def test_bootstrap_tail_is_exact(spark):
         assert not got
 
 
+def test_bootstrap_tail_has_the_law_of_single_draws(spark):
+    """Means and spreads over many replicates, tail draws against all single
+    draws; the rank leaves the first band of the small table often."""
+    rng = np.random.default_rng(8)
+    for size, reps in ((60, 400), (2000, 150)):
+        x = rng.normal(size=size)
+        df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(size), "ret": x}))
+        a, b = (R.bootstrap_tail_stats(df, seed, reps, tail=tail).toPandas() for seed, tail in ((11, 0.07), (12, 1.0)))
+        assert sorted(a.replicate) == sorted(b.replicate) == list(range(reps))
+        assert (a.k == np.maximum(a.n // 20, 1)).all() and a["var"].isin(x).all() and (a.cvar <= a["var"] + 1e-12).all()
+        for c in ("n", "var", "cvar"):
+            se = math.sqrt(a[c].var() / reps + b[c].var() / reps)
+            assert abs(a[c].mean() - b[c].mean()) < 4 * se, c
+            assert 0.7 < a[c].std() / b[c].std() < 1.4, c
+
+
+def test_a_rank_beyond_the_first_band_widens_it(spark):
+    """With a first band far below the 5% rank every replicate needs the
+    next one: the rank is taken from the spread draws, exactly."""
+    x = np.arange(400.0)
+    df = spark.createDataFrame(pd.DataFrame({"trial_id": np.arange(400), "ret": x}))
+    out = R.bootstrap_tail_stats(df, 3, 30, tail=0.005).toPandas()
+    assert len(out) == 30 and abs(out["var"].mean() - 19) < 4 and (out["var"] > 2).all()
+    spread = R.spread_draws(df.select(F.col("trial_id").alias("_id"), F.col("ret").alias("_x")), {0: 4000, 1: 0, 2: 8000}, 5)
+    n = {r["replicate"]: (r["w"], r["d"]) for r in spread.groupBy("replicate").agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("d")).collect()}
+    assert {r: w for r, (w, _) in n.items()} == {0: 4000, 2: 8000} and all(d == 400 for _, d in n.values())
+
+
 def test_bootstrap_weights_are_poisson(spark):
     df = spark.range(20000).select(F.col("id").alias("trial_id"))
     w = R.bootstrap_weights(df, 3, 2).groupBy("replicate").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("d")).collect()
@@ -145,6 +173,64 @@ def test_ols_matches_numpy(spark):
         assert np.allclose(np.c_[np.ones(n), x].T @ resid, 0, atol=1e-7)
 
 
+def test_ols_of_different_dates_and_singular_designs(spark):
+    """One design per set of dates; a repeated feature gives the least-norm
+    solution; a key without dates in common has no rows."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 2))
+    feats = np.c_[np.ones(60), x, x[:, 1]]
+    fd = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(feats)], "idx BIGINT, x ARRAY<DOUBLE>")
+    dates = {"a": range(60), "b": range(60), "c": range(10, 60), "d": range(0, 60, 2), "e": range(100, 110)}
+    rows = [(k, i, float(rng.normal())) for k, v in dates.items() for i in v] + [("a", 200, None)]
+    got = R.ols_per_group(spark.createDataFrame(rows, "series STRING, idx BIGINT, ret DOUBLE"), "series", "idx", "ret", fd).toPandas()
+    assert set(got.series) == set("abcd")
+    for k in "abcd":
+        own = [(i, r) for s, i, r in rows if s == k and i < 60]
+        want = np.linalg.lstsq(feats[[i for i, _ in own]], np.array([r for _, r in own]), rcond=None)[0]
+        assert np.allclose(got[got.series == k].sort_values("pos")["coef"], want, atol=1e-8)
+
+
+def test_portfolio_return_is_the_mean_of_the_instruments(spark):
+    """The mean weights on the features equal the mean over instruments of
+    their own returns, all features in play."""
+    rng = np.random.default_rng(4)
+    nf, n = 2, 80
+    f = rng.normal(size=(n, nf)) / 10
+    fm = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(f)], "idx BIGINT, f0 DOUBLE, f1 DOUBLE")
+    rows = [(k, i, float(rng.normal())) for k in "abc" for i in range(n)]
+    w = R.ols_per_group(spark.createDataFrame(rows, "series STRING, idx BIGINT, ret DOUBLE"), "series", "idx", "ret", R.feature_table(fm, "idx", nf))
+    trials = R.factor_scenarios(spark, np.zeros(2), np.eye(2) / 100, 200, 3, 2, nf)
+    mean = R.mean_weights(w, 1 + 3 * nf)
+    assert all(abs(v) > 1e-6 for v in mean)
+    got = R.portfolio_trial_returns(trials, mean, nf).toPandas().set_index("trial_id")["ret"]
+    each = w.toPandas().pivot(index="series", columns="pos", values="coef").to_numpy()
+    t = trials.toPandas().set_index("trial_id")
+    v = t[["f0", "f1"]].to_numpy()
+    feats = np.c_[np.ones(200), np.sign(v) * v * v, np.sign(v) * np.sqrt(abs(v)), v]
+    assert np.allclose(got.loc[t.index], (feats @ each.T).mean(1), atol=1e-9)
+
+
+def test_normals_are_normal_and_independent(spark):
+    from tabulon.functions.rng import counter_normals
+    z = counter_normals(spark.range(40_000), 7, "id", 4).toPandas()[[f"z{i}" for i in range(4)]].to_numpy()
+    assert np.allclose(z.mean(0), 0, atol=0.02) and np.allclose(np.cov(z.T), np.eye(4), atol=0.03)
+    assert abs((z ** 4).mean() - 3) < 0.15 and abs((z < -1.6448536).mean() - 0.05) < 0.004
+    assert np.allclose(np.corrcoef(z[:-1, 0], z[1:, 0])[0, 1], 0, atol=0.02)
+
+
+def test_kde_of_many_samples_within_its_bound(spark):
+    rng = np.random.default_rng(6)
+    xs = np.concatenate([rng.normal(size=3000), rng.normal(8, 0.1, size=500), [0.0] * 50])
+    df = spark.createDataFrame(pd.DataFrame({"x": xs})).union(spark.createDataFrame([(None,)], "x DOUBLE"))
+    lo, hi, h = R.sample_range_and_bandwidth(df, "x")
+    for order in (2, 4, 8):
+        d = R.kde_density(df, "x", R.density_grid(lo, hi, 40), h, order=order).orderBy("pos").collect()
+        direct = [np.mean(np.exp(-0.5 * ((r["point"] - xs) / h) ** 2) / (h * math.sqrt(2 * math.pi))) for r in d]
+        worst = max(abs(r["density"] - e) for r, e in zip(d, direct))
+        assert worst <= R.kde_error_bound(h, order=order) + 1e-14, order
+    assert [R.hermite(m) for m in range(4)] == [[1], [0, 1], [-1, 0, 1], [0, -3, 0, 1]]
+
+
 def test_kde_matches_direct(spark):
     xs = [0.1, 0.4, -0.3, 0.25, 0.9, -1.2]
     df = spark.createDataFrame([(v,) for v in xs], "x DOUBLE")
