@@ -54,8 +54,17 @@ def test_query_columns(spark, reference):
         assert r["decoded_sha256"] == hashlib.sha256(reference.decode(want, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_one_pass_equals_two(spark):
+    texts = EDGE + random_texts(60)
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, n_tokens string")
+    two = bpe.bpe_decode(bpe.bpe_encode(df.drop("n_tokens"), PATH), PATH).select("doc_id", *bpe.digests()).collect()
+    one = bpe.bpe_round_trip(df, lambda: PATH).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two)) and len(one) == len(texts)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
+    assert bpe.bpe_round_trip(df, PATH).count() == 0
     assert bpe.bpe_decode(bpe.bpe_encode(df, PATH), PATH).count() == 0
 
 

@@ -62,6 +62,18 @@ def test_equals_brute_force(spark, rows):
     assert sorted([tuple(r) for r in out], key=key) == sorted(brute(docs, bench), key=key)
 
 
+def test_letters_beyond_ascii_are_left_alone(spark):
+    """Final sigma, dotted I and the Kelvin sign: only A-Z is lower-cased, so
+    words agree wherever their letters do, whatever separates them."""
+    bench = [(1, "\u039f\u0394\u039f\u03a3 \u0391\u0392\u0393"), (2, "\u0130x KEL\u212a"), (3, "\u039f\u0394\u039f\u03a3 " + " ".join(f"w{i}" for i in range(9)))]
+    docs = [(i, f"A {m}\u039f\u0394\u039f\u03a3{m}\u0391\u0392\u0393{m} z") for i, m in enumerate(["'", ":", " ", "--"])]
+    docs += [(10, "\u0130X'kel\u212a"), (11, "i\u0307x kelk"), (12, "\u039f\u0394\u039f\u03c3 \u0391\u0392\u0393"),
+             (13, "\u039f\u0394\u039f\u03a3'" + "'".join(f"W{i}" for i in range(9)))]
+    out = decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
+    got = sorted(tuple(r) for r in out.select("doc_id", "n_words", "n_hit", "item_ids", "contaminated").collect())
+    assert got == sorted(brute(docs, bench)) and [r[2] for r in got] == [2, 2, 2, 2, 2, 0, 0, 10]
+
+
 def test_without_broadcast(spark, monkeypatch):
     import tabulon.llm.decontaminate as module
     monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
