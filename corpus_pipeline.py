@@ -54,9 +54,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded text."""
-    path = tokenizer_file()
-    encoded = bpe.bpe_encode(docs.select("doc_id", "text"), path).drop("text")
-    return bpe.bpe_decode(encoded, path).select("doc_id", *bpe.digests())
+    return bpe.bpe_round_trip(docs, tokenizer_file)
 
 
 STAGES = [
