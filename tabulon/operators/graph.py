@@ -9,11 +9,12 @@ executor recomputes at most one round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.stats import chi_squared_yates
-from tabulon.session import checkpoint_dir, cut
+from tabulon.operators.windows import dense_index
+from tabulon.session import cut
 
 
 def cooccurrence(doc_items: DataFrame, doc: str = "doc_id", item: str = "topic") -> DataFrame:
@@ -84,27 +85,41 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _sym_distinct(out)
 
 
+def numbered(ids: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, v) of every vertex of ``ids(id)`` or an edge, v = 0 .. in the
+    order of the ids, and the edges (src, dst) between these numbers: iterative
+    algorithms then shuffle 8 bytes a vertex, whatever the ids are."""
+    ends = ids.select("id").unionByName(edges.select(F.col("src").alias("id"))).unionByName(edges.select(F.col("dst").alias("id")))
+    table = cut(dense_index(ends, "id", "v"))
+    s, d = (table.withColumnsRenamed({"id": c, "v": f"_{c}"}) for c in ("src", "dst"))
+    return table, edges.select("src", "dst").join(s, "src").join(d, "dst").select(F.col("_src").alias("src"), F.col("_dst").alias("dst"))
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): component = smallest vertex id reachable. Isolated
     vertices form their own component.
 
-    Large-star / small-star alternation (Kiveris et al., 2014): O(log^2 n)
-    rounds, each a few shuffles over the edge list; stops when a round
-    leaves the edge set unchanged."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = _sym_distinct(edges.select("src", "dst")).checkpoint()
-    n = e.count()
+    Vertices are numbered once, in the order of their ids. Large-star /
+    small-star alternation (Kiveris et al., 2014): O(log^2 n) rounds, each a
+    few shuffles over the edge list; stops when a round leaves the edge set
+    unchanged, which its count and hash sum tell."""
+    table, e = numbered(vertices, edges)
+    e = cut(_sym_distinct(e))
+
+    def state(d):
+        r = d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
+        return r[0], r[1]
+
+    now = state(e)
     while True:
-        nxt = _small_star(_large_star(e)).checkpoint()
-        m = nxt.count()
-        settled = m == n and nxt.join(e, ["src", "dst"], "left_anti").isEmpty()
-        e, n = nxt, m
-        if settled:
+        e = cut(_small_star(_large_star(e)))
+        last, now = now, state(e)
+        if now == last:
             break
-    comp = e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("component"))
-    return (vertices.select("id").join(comp.withColumnRenamed("src", "id"), "id", "left")
-            .select("id", F.coalesce("component", "id").alias("component")))
+    comp = e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("root")).withColumnRenamed("src", "v")
+    names = table.select(F.col("v").alias("root"), F.col("id").alias("_root"))
+    named = table.join(comp, "v").join(names, "root").select("id", "_root")
+    return vertices.select("id").join(named, "id", "left").select("id", F.coalesce("_root", "id").alias("component"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -155,33 +170,72 @@ def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- BFS
+WORD = 64  # sources of one word
+
+
+def reach_levels(sources: DataFrame, edges: DataFrame):
+    """Multi-source BFS on bit sets: yields (hops, table) from hops 0 on, the
+    table (v, word, bits) holding the vertices first reached at that many
+    hops: bit i of a word stands for source 64 * word + i. Also returns the
+    numbering (id, v) and the sources (id, source).
+
+    A level is the OR over the edges of the level before it (one partial
+    aggregation per round), without the bits of the last two levels: in an
+    undirected graph the neighbours of level k lie in levels k - 1, k and k + 1
+    only. Rows are (vertex, word of 64 sources), never (source, target)."""
+    table, e = numbered(sources, edges.where("src <> dst"))
+    adj = cut(both_directions(e).distinct().select(F.col("src").alias("v"), F.col("dst").alias("w")))
+    index = dense_index(sources, "id", "source")
+    start = index.join(table, "id")
+    level = cut(start.groupBy("v", F.expr(f"source div {WORD}").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(source % {WORD} as int))")).alias("bits")))
+
+    def levels():
+        now, before, hops = level, level.limit(0), 0
+        while True:
+            yield hops, now
+            found = now.join(adj, "v").groupBy(F.col("w").alias("v"), "word").agg(F.bit_or("bits").alias("bits"))
+            known = now.unionByName(before).groupBy("v", "word").agg(F.bit_or("bits").alias("known"))
+            fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
+            nxt = cut(found.join(known, ["v", "word"], "left").select("v", "word", fresh.alias("bits")).where("bits <> 0"))
+            if nxt.isEmpty():
+                return
+            now, before, hops = nxt, now, hops + 1
+
+    return levels(), table, index
+
+
+def hop_histogram(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """(hops, paths): how many (source, target) pairs lie that many hops
+    apart, hops > 0, from bit counts."""
+    levels, _, _ = reach_levels(sources, edges)
+    out = [(hops, level.agg(F.sum(F.bit_count("bits").cast("bigint"))).first()[0]) for hops, level in levels if hops]
+    return sources.sparkSession.createDataFrame(out, "hops BIGINT, paths BIGINT")
+
+
+def hop_stats(histogram: DataFrame) -> DataFrame:
+    """(paths, mean, stdev, min, max) of the path lengths of a histogram."""
+    n, h = F.col("paths").cast("double"), F.col("hops").cast("double")
+    mean = F.sum(n * h) / F.sum(n)
+    spread = F.greatest(F.sum(n * h * h) / F.sum(n) - mean * mean, F.lit(0.0))
+    return histogram.agg(F.sum("paths").alias("paths"), mean.alias("mean"), F.sqrt(spread).alias("stdev"),
+                         F.min("hops").alias("min"), F.max("hops").alias("max"))
+
+
+def set_bits(bits: Column) -> Column:
+    """The places of the bits that are set, as an array."""
+    return F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit(bits, i) == 1)
+
+
 def bfs_hops(sources: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, hops): shortest hop count from every source vertex to every
-    vertex it reaches (hops 0 for itself).
-
-    Level-synchronous BFS by joins. In an undirected graph the neighbours of
-    level k lie in levels k-1, k and k+1 only, so a new level is the
-    neighbours of level k minus levels k and k-1: the anti join touches two
-    levels, never the whole visited set. Each level is checkpointed once and
-    the result is the union of the levels."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    adj = both_directions(edges.select("src", "dst")).where(F.col("src") != F.col("dst")) \
-        .distinct().select(F.col("src").alias("v"), F.col("dst").alias("w"))
-    level = sources.select(F.col("id").alias("src"), F.col("id").alias("dst")).distinct().checkpoint()
-    prev = level.limit(0)
-    levels = [level.withColumn("hops", F.lit(0).cast("bigint"))]
-    hop = 0
-    while True:
-        hop += 1
-        nxt = (level.join(adj, F.col("dst") == F.col("v")).select("src", F.col("w").alias("dst")).distinct()
-               .join(level, ["src", "dst"], "left_anti")
-               .join(prev, ["src", "dst"], "left_anti")).checkpoint()
-        if nxt.isEmpty():
-            break
-        levels.append(nxt.withColumn("hops", F.lit(hop).cast("bigint")))
-        prev, level = level, nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    vertex it reaches (hops 0 for itself): the levels of ``reach_levels``
+    with one row per set bit, for callers that want the pairs."""
+    levels, table, index = reach_levels(sources, edges)
+    out = None
+    for hops, level in levels:
+        rows = level.select("v", "word", F.explode(set_bits(F.col("bits"))).alias("bit"), F.lit(hops).cast("bigint").alias("hops"))
+        out = rows if out is None else out.unionByName(rows)
+    named = out.select("v", (F.col("word") * WORD + F.col("bit")).alias("source"), "hops")
+    named = named.join(table.withColumnRenamed("id", "dst"), "v").join(index.withColumnRenamed("id", "src"), "source")
+    return named.select("src", "dst", "hops")

@@ -3,6 +3,8 @@ suppliers or parts as topics)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from tabulon.operators.clean import major_topics
 from tabulon.operators.topk import top_k
 from tabulon.plans import duck
 from tabulon.plans import fixtures as fx
+from tabulon.session import checkpoint_dir
+from tabulon.sources.files import read_xml, write_xml
 
 SUPP, PART = "l_suppkey", "l_partkey"
 CHI_CUT = 19.5          # the reference's interesting-edge cut
@@ -183,21 +187,28 @@ def q_avg_clustering_coef(spark, sf_dir):
 def q_sampled_path_lengths(spark, sf_dir):
     v, e = interesting(spark, sf_dir, PART, CHI_CUT)
     src = v.where(uniform(PATH_SEED, "id") < PATH_FRACTION).select("id")
-    return G.bfs_hops(src, e).where(F.col("hops") > 0)
+    return G.hop_histogram(src, e)
+
+
+CITATION = ("doc_id BIGINT, MeshHeadingList STRUCT<MeshHeading: ARRAY<STRUCT<DescriptorName: "
+            "STRUCT<_VALUE: STRING, _MajorTopicYN: STRING>>>>")
 
 
 def nested_headings(spark, sf_dir) -> DataFrame:
-    """Citation-like records: MeshHeadingList.MeshHeading is an array of
-    DescriptorName structs (_MajorTopicYN, _VALUE); orders without lines get
-    a null list."""
+    """Citation records from an XML file: each holds a MeshHeadingList of
+    MeshHeading elements, whose DescriptorName is a text (``_VALUE``) with the
+    attribute MajorTopicYN; orders without lines have no list. The file is
+    written in the shared folder and read back under its explicit schema."""
     li = fx.table(spark, sf_dir, "lineitem")
     heads = li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.collect_list(F.struct(F.struct(
-        F.when(F.col("l_returnflag") == "R", F.lit("Y")).otherwise(F.lit("N")).alias("_MajorTopicYN"),
-        F.col("l_suppkey").cast("string").alias("_VALUE")).alias("DescriptorName"))).alias("h"))
+        F.col("l_suppkey").cast("string").alias("_VALUE"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Y")).otherwise(F.lit("N")).alias("_MajorTopicYN")).alias("DescriptorName"))).alias("h"))
     docs = fx.all_docs(spark, sf_dir)
-    return docs.join(heads, "doc_id", "left").select(
-        "doc_id", F.when(F.col("h").isNotNull(), F.struct(F.col("h").alias("MeshHeading")))
-        .alias("MeshHeadingList"))
+    records = docs.join(heads, "doc_id", "left").select(
+        "doc_id", F.when(F.col("h").isNotNull(), F.struct(F.col("h").alias("MeshHeading"))).alias("MeshHeadingList"))
+    out = f"{checkpoint_dir(spark).rstrip('/')}/citations-{uuid.uuid4().hex}"
+    write_xml(records, out, root_tag="MedlineCitationSet", row_tag="MedlineCitation")
+    return read_xml(spark, out, row_tag="MedlineCitation", schema=CITATION)
 
 
 def q_project_nested(spark, sf_dir):
@@ -333,13 +344,13 @@ def oracle():
             f"ELSE 0.0 END), 6) AS avg_clustering_coef FROM v LEFT JOIN tri ON v.id = tri.id LEFT JOIN ({_DEG.format(e='ie')}) d "
             "ON v.id = d.id", P, CHI_CUT).replace("\nSELECT ROUND", ",\n" + _TRI + "\nSELECT ROUND"),
         "sampled_path_lengths": _g(
-            "SELECT src, dst, hops FROM bfs WHERE hops > 0", P, CHI_CUT, recursive=True).replace(
-            "\nSELECT src, dst, hops",
+            "SELECT hops, COUNT(*) AS paths FROM bfs WHERE hops > 0 GROUP BY hops", P, CHI_CUT, recursive=True).replace(
+            "\nSELECT hops, COUNT",
             ",\nbfs(src, dst, hops) USING KEY (src, dst) AS ("
             f"SELECT id, id, CAST(0 AS BIGINT) FROM v WHERE {duck_uniform_sql(PATH_SEED, 'id')} < {PATH_FRACTION} UNION "
             "(SELECT b.src, u.dst, MIN(b.hops + 1) FROM bfs b JOIN und u ON b.dst = u.src "
             "LEFT JOIN recurring.bfs o ON o.src = b.src AND o.dst = u.dst WHERE o.dst IS NULL GROUP BY b.src, u.dst))"
-            "\nSELECT src, dst, hops"),
+            "\nSELECT hops, COUNT"),
         "project_nested": _NESTED.format(
             agg="CASE WHEN COUNT(l_orderkey) = 0 THEN NULL ELSE list_sort(list(CAST(l_suppkey AS VARCHAR))) END",
             name="names"),

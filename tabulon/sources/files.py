@@ -12,14 +12,27 @@ from pyspark.sql import functions as F
 from tabulon.functions.geometry import ring_area
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | None = None) -> DataFrame:
+BROKEN = "_corrupt_record"
+
+
+def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | None = None, broken: str = "drop") -> DataFrame:
     """Rows by ``row_tag``; attributes arrive as ``_name``, element text next
-    to attributes as ``_VALUE``. Without a schema it is inferred (one extra
-    pass)."""
-    r = spark.read.format("xml").option("rowTag", row_tag)
+    to attributes as ``_VALUE``, repeated elements as arrays, and nested
+    elements as structs. Without a schema it is inferred (one extra pass).
+
+    ``broken`` says what becomes of records that are no well-formed XML or
+    whose values do not fit the schema: "drop" leaves them out, "keep" keeps
+    their text in the column ``_corrupt_record`` (a schema is needed), "fail"
+    ends the job. The parser can't tell where a record that is not well-formed
+    ends: the rest of its file goes with it. Elements that the schema does not
+    name are left out."""
+    mode = {"drop": "DROPMALFORMED", "keep": "PERMISSIVE", "fail": "FAILFAST"}[broken]
+    r = spark.read.format("xml").option("rowTag", row_tag).option("mode", mode)
     if schema:
-        r = r.schema(schema)
-    return r.load(path)
+        r = r.schema(f"{schema}, {BROKEN} STRING" if broken == "keep" else schema)
+    elif broken == "keep":
+        raise ValueError("broken records are kept under an explicit schema only")
+    return r.option("columnNameOfCorruptRecord", BROKEN).load(path)
 
 
 def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:

@@ -122,3 +122,41 @@ def test_csv_sink_round_trip(spark, tmpdir_fresh):
     files.write_delimited(df, out, sep="\t")
     back = spark.read.schema("term STRING, df BIGINT").option("sep", "\t").csv(out)
     assert sorted(map(tuple, back.collect())) == [("a", 1), ("b\tc", 2)]
+
+
+CITATIONS = """<?xml version="1.0"?><MedlineCitationSet>
+<MedlineCitation Status="ok"><PMID Version="1"> 12 </PMID><MeshHeadingList>
+ <MeshHeading><DescriptorName MajorTopicYN="Y">Heart &amp; blood</DescriptorName><Other>x</Other></MeshHeading>
+ <MeshHeading><DescriptorName MajorTopicYN="N">Lung</DescriptorName></MeshHeading></MeshHeadingList></MedlineCitation>
+<MedlineCitation><PMID Version="2">13</PMID><MeshHeadingList><MeshHeading><DescriptorName>Bare</DescriptorName></MeshHeading></MeshHeadingList></MedlineCitation>
+<MedlineCitation><PMID Version="x">14</PMID></MedlineCitation>
+<MedlineCitation><PMID Version="3">16</PMID></MedlineCitation>
+<MedlineCitation><PMID Version="1">15</PMID><MeshHeadingList><MeshHeading></MedlineCitation>
+</MedlineCitationSet>"""
+CITATION_SCHEMA = ("PMID STRUCT<_VALUE: BIGINT, _Version: INT>, MeshHeadingList STRUCT<MeshHeading: ARRAY<STRUCT<DescriptorName: "
+                   "STRUCT<_VALUE: STRING, _MajorTopicYN: STRING>>>>")
+
+
+def test_nested_xml_with_attributes_and_broken_records(spark, tmpdir_fresh):
+    with open(os.path.join(tmpdir_fresh, "c.xml"), "w") as f:
+        f.write(CITATIONS)
+    got = files.read_xml(spark, tmpdir_fresh, "MedlineCitation", CITATION_SCHEMA)
+    name = F.col("MeshHeadingList.MeshHeading.DescriptorName")
+    rows = {r["id"]: (r["v"], r["n"], r["m"]) for r in got.select(
+        F.col("PMID._VALUE").alias("id"), F.col("PMID._Version").alias("v"), name["_VALUE"].alias("n"), name["_MajorTopicYN"].alias("m")).collect()}
+    assert rows == {12: (1, ["Heart & blood", "Lung"], ["Y", "N"]), 13: (2, ["Bare"], [None]), 16: (3, None, None)}
+    kept = files.read_xml(spark, tmpdir_fresh, "MedlineCitation", CITATION_SCHEMA, broken="keep").cache()
+    bad = [r[0] for r in kept.where(f"{files.BROKEN} is not null").select(files.BROKEN).collect()]
+    assert kept.count() == 5 and len(bad) == 2 and all("14" in b or "15" in b for b in bad)
+    kept.unpersist()
+
+
+def test_nested_xml_round_trip(spark, tmpdir_fresh):
+    df = spark.createDataFrame([(1, ("a <b> & c", True), [("x", "Y"), ("y", "N")]), (2, None, []), (3, ("", False), [("z", None)])],
+                               "id BIGINT, body STRUCT<_VALUE: STRING, _flag: BOOLEAN>, tag ARRAY<STRUCT<_VALUE: STRING, _m: STRING>>")
+    out = os.path.join(tmpdir_fresh, "x")
+    files.write_xml(df, out, "all", "one")
+    back = files.read_xml(spark, out, "one", "id BIGINT, body STRUCT<_VALUE: STRING, _flag: BOOLEAN>, tag ARRAY<STRUCT<_VALUE: STRING, _m: STRING>>")
+    rows = {r["id"]: r for r in back.collect()}
+    assert len(rows) == 3 and tuple(rows[1]["body"]) == ("a <b> & c", True) and [tuple(t) for t in rows[1]["tag"]] == [("x", "Y"), ("y", "N")]
+    assert rows[2]["body"] is None and not rows[2]["tag"] and [tuple(t) for t in rows[3]["tag"]] == [("z", None)]
