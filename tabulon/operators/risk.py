@@ -361,9 +361,10 @@ def bootstrap_tail_stats(trials: DataFrame, seed: int, replicates: int, col: str
     draws for all rows (``tail`` = 1 draws them so); an empty replicate
     (possible for a handful of rows only) has no row."""
     spark = trials.sparkSession
-    base = trials.select(F.col(id_col).alias("_id"), F.col(col).cast("double").alias("_x")).where("_x is not null")
+    base = trials.select(F.col(id_col).alias("_id"), F.col(col).cast("double").alias("_x"))
     found: list = []
-    with held(base) as rows:
+    with held(base) as rows:  # the filter meets stored values
+        rows = rows.where("_x is not null")
         bands, fine = tail_bands(rows, "_x", tail)
         higher = {r: [int(np.random.Generator(np.random.Philox(key=[seed, r * 8 + b])).poisson(m)) for b, (_, _, m) in enumerate(bands[1:])]
                   for r in range(replicates)}

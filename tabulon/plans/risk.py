@@ -94,6 +94,12 @@ def model(spark, sf_dir):
     return trials, R.portfolio_trial_returns(trials, wbar, NF)
 
 
+def trial_returns(spark, sf_dir):
+    """The (trial_id, ret) of all trials, written: 16 bytes a trial, computed
+    once for all the passes over them."""
+    return written(model(spark, sf_dir)[1])
+
+
 def q_scan_price_tsv(spark, sf_dir):
     return parse_price_tsv(price_tsv_lines(spark, sf_dir), series="series")
 
@@ -168,15 +174,14 @@ def q_factor_scenarios(spark, sf_dir):
 
 
 def q_portfolio_trial_returns(spark, sf_dir):
-    _, ret = model(spark, sf_dir)
-    return _per_part(ret, ["ret"])
+    return _per_part(model(spark, sf_dir)[1], ["ret"])
 
 
 def q_smallest_fraction(spark, sf_dir):
     """The lowest 5% of the trials, by return in millionths and trial id:
     what lies closer together is a tie, so that the last digits of a
     floating-point return never decide who belongs."""
-    _, ret = model(spark, sf_dir)
+    ret = model(spark, sf_dir)[1]
     ret = written(ret.select("trial_id", F.floor(F.col("ret") * 1e6 + 0.5).alias("micro")))
     n = ret.count()
     low = R.k_smallest_rows(ret, "micro", max(n // 20, 1), "trial_id") if n else ret
@@ -184,8 +189,7 @@ def q_smallest_fraction(spark, sf_dir):
 
 
 def _var(spark, sf_dir):
-    _, ret = model(spark, sf_dir)
-    return R.value_at_risk(ret)
+    return R.value_at_risk(trial_returns(spark, sf_dir))
 
 
 def q_value_at_risk(spark, sf_dir):
@@ -197,13 +201,11 @@ def q_conditional_var(spark, sf_dir):
 
 
 def _boot(spark, sf_dir):
-    _, ret = model(spark, sf_dir)
-    return R.bootstrap_tail_stats(ret, BOOT_SEED, REPLICATES)
+    return R.bootstrap_tail_stats(trial_returns(spark, sf_dir), BOOT_SEED, REPLICATES)
 
 
 def q_bootstrap_resample(spark, sf_dir):
-    _, ret = model(spark, sf_dir)
-    w = R.bootstrap_weights(ret.select("trial_id"), BOOT_SEED, REPLICATES)
+    w = R.bootstrap_weights(trial_returns(spark, sf_dir).select("trial_id"), BOOT_SEED, REPLICATES)
     return w.groupBy("replicate").agg(F.sum("weight").cast("bigint").alias("n"),
                                       F.count(F.lit(1)).alias("distinct_rows"))
 
@@ -248,9 +250,7 @@ def q_kde_density(spark, sf_dir):
 
 def q_density_grid(spark, sf_dir):
     """Density of the trial returns, all of them."""
-    _, ret = model(spark, sf_dir)
-    with held(ret.select(F.col("ret").alias("x"))) as samples:
-        d = _kde(samples)
+    d = _kde(trial_returns(spark, sf_dir).select(F.col("ret").alias("x")))
     return d.select("pos", "point", F.round("density", 6).alias("density"))
 
 

@@ -114,23 +114,32 @@ def q_sink_docfreq_tsv(spark, sf_dir):
     return back
 
 
+PAGE = ("_id BIGINT, title STRING, ns BIGINT, revision STRUCT<_size: BIGINT, contributor: STRUCT<id: STRING>, "
+        "text: STRUCT<_VALUE: STRING, _empty: BOOLEAN, _lang: STRING>>")
+
+
 def q_scan_xml(spark, sf_dir):
-    a = fx.articles(spark, sf_dir).select("doc_id", "title", "ns", "text")
+    """Article dump as an XML file: the id is an attribute of the page, the
+    text a nested element with attributes beside its value."""
+    a = fx.articles(spark, sf_dir)
+    text = F.struct(F.col("text").alias("_VALUE"), (F.col("text") == "").alias("_empty"), F.lit("x").alias("_lang"))
+    pages = a.select(F.col("doc_id").alias("_id"), "title", "ns", F.struct(
+        F.length("text").cast("bigint").alias("_size"), F.struct(F.concat(F.lit("u"), "doc_id").alias("id")).alias("contributor"),
+        text.alias("text")).alias("revision"))
     out = f"{checkpoint_dir(spark).rstrip('/')}/articles-{uuid.uuid4().hex}"
-    write_xml(a, out, root_tag="pages", row_tag="page")
-    back = read_xml(spark, out, row_tag="page",
-                    schema="doc_id BIGINT, title STRING, ns BIGINT, text STRING")
-    return back.select("doc_id", "title", "ns", F.length("text").cast("bigint").alias("text_chars"),
-                       F.md5("text").alias("text_md5"))
+    write_xml(pages, out, root_tag="mediawiki", row_tag="page")
+    back = read_xml(spark, out, row_tag="page", schema=PAGE)
+    # an empty element has no value: its attribute tells it from a missing one
+    body = F.when(F.col("revision.text._empty"), F.lit("")).otherwise(F.col("revision.text._VALUE"))
+    return back.select(F.col("_id").alias("doc_id"), "title", "ns", F.length(body).cast("bigint").alias("text_chars"), F.md5(body).alias("text_md5"))
 
 
 def lsa(spark, sf_dir, k=K_CONCEPTS):
     """The fitted LSA model: vocabulary, s, V and U."""
     _tf, vocab, _idf, w = model(spark, sf_dir)
-    vecs = T.term_doc_vectors(w, NUM_TERMS)
     n_terms = vocab.agg(F.count(F.lit(1))).first()[0]
-    s, v, u = T.svd(vecs, min(k, n_terms))
-    return vocab, s, v[:n_terms], u
+    s, v, u = T.svd(w, n_terms, min(k, n_terms))
+    return vocab, s, v, u
 
 
 def q_svd_factor(spark, sf_dir):

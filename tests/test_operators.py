@@ -84,12 +84,8 @@ def test_svd_rebuilds_matrix(spark):
     from tabulon.operators.text import svd
     rng = np.random.default_rng(0)
     a = rng.random((12, 6)) * (rng.random((12, 6)) > 0.5)
-    rows = []
-    for i in range(12):
-        nz = [j for j in range(6) if a[i, j] != 0]
-        rows.append((i, 6, nz, [float(a[i, j]) for j in nz]))
-    vec = spark.createDataFrame(rows, "doc_id BIGINT, size INT, indices ARRAY<INT>, `values` ARRAY<DOUBLE>")
-    s, v, u = svd(vec, 6)
+    rows = [(i, j, float(a[i, j])) for i in range(12) for j in range(6) if a[i, j]]
+    s, v, u = svd(spark.createDataFrame(rows, "doc_id BIGINT, term_id INT, w DOUBLE"), 6, 6)
     um = np.zeros((12, 6))
     for r in u.collect():
         um[r["doc_id"], r["concept"]] = r["weight"]
@@ -97,6 +93,29 @@ def test_svd_rebuilds_matrix(spark):
     assert np.allclose(v.T @ v, np.eye(6), atol=1e-8)
 
 
+def test_svd_of_a_larger_matrix(spark):
+    """Leading values and spaces against numpy, with restarts, a block of
+    zeros and fewer independent columns than asked for."""
+    from tabulon.operators.text import svd
+    rng = np.random.default_rng(4)
+    a = rng.random((60, 40)) * (rng.random((60, 40)) > 0.7) * np.linspace(3, 0.5, 40)
+    a[:, 30:] = 0
+    cells = [(i, j, float(a[i, j])) for i in range(60) for j in range(40) if a[i, j]]
+    df = spark.createDataFrame(cells, "doc_id BIGINT, term_id INT, w DOUBLE")
+    want = np.linalg.svd(a)
+    s, v, u = svd(df, 40, 3, tol=1e-9, extra=2, max_basis=12)
+    assert np.allclose(s, want[1][:3], atol=1e-7) and np.allclose(np.abs(np.diag(v.T @ want[2][:3].T)), 1, atol=1e-6)
+    assert all(v[np.abs(v[:, c]).argmax(), c] > 0 for c in range(3))
+    um = np.zeros((60, 3))
+    for r in u.collect():
+        um[r["doc_id"], r["concept"]] = r["weight"]
+    assert np.allclose(um.T @ um, np.eye(3), atol=1e-6) and np.allclose(a @ v, um * s, atol=1e-8)
+    s, v, u = svd(df, 40, 40)
+    assert len(s) == 30 and np.allclose(s, want[1][:30], atol=1e-7)
+    s, v, u = svd(df.where("w < 0"), 40, 2)
+    assert len(s) == 0 and u.count() == 0
+
+
 def test_tfidf_formula(spark):
     from tabulon.operators import text as T
     docs = spark.createDataFrame([(1, "apple banana apple zzz"), (2, "banana cherry")], "doc_id BIGINT, text STRING")
