@@ -3,11 +3,10 @@
 Every normalised line is hashed; a HyperLogLog sketch of the sites that carry
 it is built per line by partial aggregation and merged by the shuffle.
 Sketches settle the lines far from the threshold; lines whose estimate lies
-within ``band`` of it get an exact distinct count. Lines on ``min_sites``
-sites or more are boilerplate and removed from every document -- except from
-documents of which they make up more than ``max_share`` of the characters:
-many of those are copies of one another, left whole for the near-duplicate
-stage, but pages with little besides boilerplate are left whole as well.
+within ``band`` of it get an exact distinct count. Equal texts are one text on
+one site, the smallest of theirs, so that a page copied to many sites does not
+turn its own lines into boilerplate. Lines on ``min_sites`` sites or more are
+boilerplate and removed from every document, whatever is left of it.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from tabulon.llm.base import SPACE, cut, let, on_key, row_key, small
 MIN_SITES = 10
 SKETCH_ERROR = 0.1   # relative standard deviation of the sketches
 BAND = 0.5           # estimates within this share of the threshold are counted exactly
-MAX_SHARE = 0.5
 BROADCAST_ROWS = 200_000
 
 
@@ -38,8 +36,16 @@ def spread_lines(rows: DataFrame, min_sites: int = MIN_SITES, error: float = SKE
     return sketched.where(F.col("est") > min_sites * (1 + band)).select("lh").union(exact.select("lh"))
 
 
-def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                max_share: float = MAX_SHARE) -> DataFrame:
+def one_site_each(rows: DataFrame) -> DataFrame:
+    """``rows(th, site, ..)`` with the site of a text (hash) that several
+    sites carry replaced by the smallest of them."""
+    sites = rows.select("th", "site").distinct().groupBy("th").agg(F.min("site").alias("_site"), F.count(F.lit(1)).alias("_n"))
+    moved = cut(sites.where("_n > 1").select(F.col("th").alias("_moved"), "_site"))
+    j = rows.join(small(moved, BROADCAST_ROWS), F.col("th") == F.col("_moved"), "left")
+    return j.withColumn("site", F.coalesce("_site", "site")).drop("_moved", "_site")
+
+
+def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and n_lines
     (lines with a word) and n_removed added (replacing columns of these
     names). The remaining lines stay joined by newlines as they were, blank
@@ -48,7 +54,8 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", site:
     an empty one."""
     hashes = F.transform(F.split(F.col(text), "\n"), _hashed)
     lined = docs.select(*row_key(doc, text), F.col(site).alias("site"), hashes.alias("hs"))
-    rows = lined.select("site", F.explode(F.array_distinct("hs")).alias("lh")).where("lh is not null and site is not null")
+    rows = one_site_each(lined.where("site is not null").select("th", "site", "hs"))
+    rows = rows.select("site", F.explode(F.array_distinct("hs")).alias("lh")).where("lh is not null")
     spread = cut(spread_lines(rows, min_sites))
     held = lined.select("doc_id", "th", F.explode(F.array_distinct("hs")).alias("lh")).where("lh is not null")
     held = held.join(small(spread, BROADCAST_ROWS), "lh", "left_semi").groupBy("doc_id", "th").agg(F.collect_set("lh").alias("_gone"))
@@ -62,12 +69,8 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", site:
         marked = F.transform(all_lines, lambda x: F.struct(x.alias("x"), F.coalesce(F.array_contains(gone, _hashed(x)), F.lit(False)).alias("g")))
 
         def settle(m):
-            total = F.aggregate(m, F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x["x"]))
-            lost = F.aggregate(m, F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["g"], F.char_length(x["x"])).otherwise(0))
-            whole = lost > total * max_share
             left = F.array_join(F.transform(F.filter(m, lambda x: ~x["g"]), lambda x: x["x"]), "\n")
-            n = F.size(F.filter(m, lambda x: x["g"])).cast("bigint")
-            return F.struct(F.when(whole, t).otherwise(left).alias("text"), F.when(whole, F.lit(0).cast("bigint")).otherwise(n).alias("n"))
+            return F.struct(left.alias("text"), F.size(F.filter(m, lambda x: x["g"])).cast("bigint").alias("n"))
         return let(marked, settle)
 
     n_lines = F.size(F.filter(F.split(F.coalesce(t, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("bigint")

@@ -9,13 +9,12 @@ LINES = (f"SELECT doc_id, source, text, pos, line, regexp_matches(line, '{WORD}'
 
 LINE_DEDUP = f"""
 WITH l AS ({LINES}),
-spread AS (SELECT norm FROM l WHERE word GROUP BY norm HAVING COUNT(DISTINCT source) >= 10),
+one AS (SELECT coalesce(text, '') AS text, MIN(source) AS site FROM documents GROUP BY 1),
+spread AS (SELECT norm FROM l JOIN one ON l.text = one.text WHERE word GROUP BY norm HAVING COUNT(DISTINCT one.site) >= 10),
 m AS (SELECT l.*, word AND l.norm IN (SELECT norm FROM spread) AS gone FROM l),
-d AS (SELECT doc_id, any_value(text) AS text, COUNT(*) FILTER (WHERE word) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_gone,
-      coalesce(SUM(length(line)) FILTER (WHERE gone), 0) > 0.5 * SUM(length(line)) AS whole,
-      coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS rest FROM m GROUP BY doc_id),
-r AS (SELECT doc_id, n_lines, CASE WHEN whole THEN 0 ELSE n_gone END AS n_removed, CASE WHEN whole THEN text ELSE rest END AS t FROM d)
-SELECT doc_id, n_lines, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS n_chars_left, sha256(t) AS text_sha256 FROM r
+d AS (SELECT doc_id, COUNT(*) FILTER (WHERE word) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_gone,
+      coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS t FROM m GROUP BY doc_id)
+SELECT doc_id, n_lines, n_gone AS n_removed, CAST(length(t) AS BIGINT) AS n_chars_left, sha256(t) AS text_sha256 FROM d
 """
 
 QUALITY = f"""
@@ -27,8 +26,7 @@ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY d
 rep AS (SELECT doc_id, SUM(n) AS n FROM (SELECT doc_id, LEAST(8, i - coalesce(LAG(i) OVER (PARTITION BY doc_id ORDER BY i), i - 8)) AS n
         FROM twice) x GROUP BY doc_id),
 seen AS (SELECT source, norm, COUNT(DISTINCT text) AS n FROM l GROUP BY source, norm),
-hosts AS (SELECT source, COUNT(DISTINCT text) AS n FROM d GROUP BY source),
-lim AS (SELECT s.source, s.norm FROM seen s JOIN hosts h ON s.source = h.source WHERE s.n > 20 AND s.n > 0.05 * h.n),
+lim AS (SELECT source, norm FROM seen WHERE n > 20),
 gone AS (SELECT doc_id, SUM(n) AS n FROM l JOIN lim ON l.source = lim.source AND l.norm = lim.norm GROUP BY doc_id),
 b AS (SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '{SPACE}', '', 'g')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,

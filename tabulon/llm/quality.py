@@ -22,7 +22,6 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MAX_DOCS = 20       # a line in no more documents of a host is never boilerplate
-MAX_SHARE = 0.05    # nor one in at most this share of the host's documents
 MIN_LEFT = 0.3
 SYMBOLS = r"[#*$%&|<>]"
 BROADCAST_ROWS = 200_000
@@ -76,15 +75,14 @@ def line_rows(docs: DataFrame, doc: str, text: str, host: str) -> DataFrame:
     return rows.select("doc_id", "th", "host", F.explode(each).alias("l")).select("doc_id", "th", "host", "l.lh", "l.words")
 
 
-def frequent_lines(rows: DataFrame, hosts: DataFrame, max_docs: int, max_share: float) -> DataFrame:
-    """(host, lh) of the lines above both limits. ``hosts(host, n_docs)``."""
+def frequent_lines(rows: DataFrame, max_docs: int) -> DataFrame:
+    """(host, lh) of the lines above the limit."""
     seen = rows.select("host", "lh", "th").distinct().groupBy("host", "lh").agg(F.count(F.lit(1)).alias("n"))
-    seen = seen.where(F.col("n") > max_docs)
-    return seen.join(hosts, "host").where(F.col("n") > F.col("n_docs") * max_share).select("host", "lh")
+    return seen.where(F.col("n") > max_docs).select("host", "lh")
 
 
 def quality(docs: DataFrame, doc: str = "doc_id", text: str = "text", host: str = "source", min_words: int = MIN_WORDS,
-            max_repeat: int = MAX_REPEAT_PERCENT, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
+            max_repeat: int = MAX_REPEAT_PERCENT, max_docs: int = MAX_DOCS,
             min_left: float = MIN_LEFT) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (text hash), n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -93,9 +91,7 @@ def quality(docs: DataFrame, doc: str = "doc_id", text: str = "text", host: str
     null host is a host of its own; rows repeated in full count as one
     document and get one result each; an empty table gives an empty one."""
     rows = line_rows(docs, doc, text, host)
-    hosts = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), row_key(doc, text)[1]).distinct() \
-        .groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
-    limits = cut(frequent_lines(rows, hosts, max_docs, max_share))
+    limits = cut(frequent_lines(rows, max_docs))
     gone = rows.join(small(limits, BROADCAST_ROWS), ["host", "lh"])
     # a row repeated in full has each of its lines as often as it is repeated
     gone = gone.groupBy("doc_id", "th", "host").agg(F.sum("words").alias("n_all"), F.collect_set("lh").alias("removed"))
