@@ -74,6 +74,34 @@ def un_one_hot(arr, start: int, length: int) -> Column:
     return (F.array_position(F.slice(a, start + 1, length), F.lit(1.0)) - 1).cast("int")
 
 
+def nominal_vector(df: DataFrame, nominal: dict[str, int], numeric: list[str], out: str = "features") -> DataFrame:
+    """``df`` with the vector ``out`` of the ``nominal`` columns (category
+    numbers from 0; name to count of categories) and the ``numeric`` ones,
+    marked so that trees split the former by sets of categories. The mark is
+    metadata of the column: set it after a checkpoint (``mark_nominal``)."""
+    parts = [F.col(c).cast("double") for c in [*nominal, *numeric]]
+    return mark_nominal(df.withColumn(out, array_to_vector(F.array(*parts))), nominal, numeric, out)
+
+
+def mark_nominal(df: DataFrame, nominal: dict[str, int], numeric: list[str], out: str = "features") -> DataFrame:
+    attrs = {"nominal": [{"idx": i, "name": c, "vals": [str(v) for v in range(n)]} for i, (c, n) in enumerate(nominal.items())],
+             "numeric": [{"idx": len(nominal) + i, "name": c} for i, c in enumerate(numeric)]}
+    meta = {"ml_attr": {"attrs": attrs, "num_attrs": len(nominal) + len(numeric)}}
+    return df.withColumn(out, F.col(out).alias(out, metadata=meta))
+
+
+def score_vector(model, values: list[float]) -> dict:
+    """A fitted classifier's class for one given feature vector, and the
+    share of its votes."""
+    from pyspark.ml.linalg import Vectors
+
+    if len(values) != model.numFeatures:
+        raise ValueError(f"the model has {model.numFeatures} features")
+    v = Vectors.dense([float(x) for x in values])
+    cls = float(model.predict(v))
+    return {"prediction": cls, "share": float(model.predictProbability(v)[int(cls)])}
+
+
 # ---------------------------------------------------------------- ALS
 def int_ids(df: DataFrame, *cols: str) -> tuple[DataFrame, dict]:
     """``df`` with ids that fit ALS's 32-bit range: columns outside it are

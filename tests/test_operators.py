@@ -167,3 +167,25 @@ def test_checkpoint_folder_is_needed_on_a_cluster():
 
     with pytest.raises(ValueError):
         checkpoint_dir(Session)
+
+
+def test_forest_on_nominal_features_and_one_vector(spark):
+    """The class depends on a set of categories that no threshold separates;
+    a forest that knows the feature as nominal finds it and scores a vector."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from tabulon.operators import evaluate as EV
+    from tabulon.operators import ml as ML
+    r = np.random.default_rng(3)
+    odd = {0, 3, 5, 8, 11}
+    rows = [(int(c), float(x), float((c in odd) != (x > 0.8))) for c, x in zip(r.integers(0, 12, 600), r.random(600))]
+    df = ML.nominal_vector(spark.createDataFrame(rows, "cat INT, x DOUBLE, y DOUBLE"), {"cat": 12}, ["x"])
+    attrs = df.schema["features"].metadata["ml_attr"]
+    assert attrs["num_attrs"] == 2 and len(attrs["attrs"]["nominal"][0]["vals"]) == 12
+    train, test = df.where("x < 0.3 or x > 0.4"), df.where("x >= 0.3 and x <= 0.4")
+    forest = RandomForestClassifier(numTrees=20, impurity="entropy", maxDepth=5, maxBins=40, seed=7, labelCol="y", featureSubsetStrategy="all").fit(train)
+    assert EV.accuracy(forest.transform(test), "y").first()["accuracy"] > 0.95 > EV.random_guess_accuracy(train, test, "y").first()[0]
+    assert ML.score_vector(forest, [3.0, 0.35])["prediction"] == 1.0 and ML.score_vector(forest, [4.0, 0.35])["prediction"] == 0.0
+    assert 0.5 < ML.score_vector(forest, [3.0, 0.95])["share"] <= 1.0
+    import pytest
+    with pytest.raises(ValueError):
+        ML.score_vector(forest, [1.0])
