@@ -43,15 +43,23 @@ def freq_of_freq(counts: DataFrame, count_col: str = "n", out: str = "n_values")
 
 def column_moments(df: DataFrame, vec: str, key_cols: tuple = ()) -> DataFrame:
     """Per vector position: n, sum, sum of squares, mean, population stdev
-    sqrt(n*ss - s^2)/n. Vectors are exploded by position and aggregated with
-    a partial hash aggregate, so only one row per position crosses the
-    shuffle from each task."""
-    e = df.select(*key_cols, F.posexplode(vec).alias("pos", "x"))
-    g = e.groupBy(*key_cols, "pos").agg(F.count("x").alias("n"), F.sum("x").alias("s"),
-                                       F.sum(F.col("x") * F.col("x")).alias("ss"))
-    return g.select(*key_cols, "pos", "n", "s", "ss", (F.col("s") / F.col("n")).alias("mean"),
-                    (F.sqrt(F.greatest(F.col("n") * F.col("ss") - F.col("s") * F.col("s"), F.lit(0.0)))
-                     / F.col("n")).alias("stdev"))
+    sqrt(n*ss - s^2)/n. One aggregate with three sums a position (the longest
+    vector's size is found first), partially aggregated, so no row is copied
+    per position; the few result rows are then laid out by position.
+    Positions that no vector of a group reaches have no row."""
+    size = df.agg(F.max(F.size(F.col(vec))).alias("d")).first()["d"] or 0
+    none = df.select(*key_cols, F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss")).where(F.lit(False))
+    if size > 0:
+        aggs = []
+        for i in range(size):
+            x = F.get(F.col(vec), F.lit(i))
+            aggs.append(F.struct(F.lit(i).alias("pos"), F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("ss"),
+                                 F.count_if(F.size(F.col(vec)) > i).alias("m")))
+        wide = df.groupBy(*key_cols).agg(F.array(*aggs).alias("_m"))
+        none = wide.select(*key_cols, F.inline("_m")).where("m > 0")
+    return none.select(*key_cols, "pos", "n", "s", "ss", (F.col("s") / F.col("n")).alias("mean"),
+                       (F.sqrt(F.greatest(F.col("n") * F.col("ss") - F.col("s") * F.col("s"), F.lit(0.0)))
+                        / F.col("n")).alias("stdev"))
 
 
 def group_lists(df: DataFrame, key: str, value: str, chunk: int = 10_000, block: int = 1 << 16) -> DataFrame:

@@ -7,6 +7,8 @@ no cross join with a centre table, no per-row Python."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
@@ -28,6 +30,12 @@ def to_array(df: DataFrame, vec_col: str, out: str | None = None) -> DataFrame:
     return df.withColumn(out or vec_col, vector_to_array(F.col(vec_col)))
 
 
+def number_literal(values, kind: str) -> Column:
+    """Nested lists of finite numbers as one literal of type ``kind``: a text
+    that the optimizer folds, not a node of the plan for each number."""
+    return F.from_json(F.lit(json.dumps(values, allow_nan=False)), kind)
+
+
 def column_moments_literal(df: DataFrame, arr: str) -> tuple[list[float], list[float]]:
     """Per position mean and population stdev of an array column (the
     sqrt(n*ss - s^2)/n form); one partially aggregated pass, 2d numbers out."""
@@ -40,8 +48,7 @@ def column_moments_literal(df: DataFrame, arr: str) -> tuple[list[float], list[f
 def standardize(arr, means: list[float], stdevs: list[float]) -> Column:
     """(x - mean) / stdev per position; only centred where stdev <= 0."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    m = F.array(*[F.lit(float(x)) for x in means])
-    s = F.array(*[F.lit(float(x)) for x in stdevs])
+    m, s = (number_literal([float(x) for x in v], "array<double>") for v in (means, stdevs))
     return F.transform(a, lambda x, i: F.when(s[i] > 0, (x - m[i]) / s[i]).otherwise(x - m[i]))
 
 
@@ -172,8 +179,8 @@ def centres_of(model) -> list[list[float]]:
 def cluster_assign(df: DataFrame, arr: str, centres: list[list[float]], cluster: str = "cluster",
                    distance: str = "distance") -> DataFrame:
     """Nearest centre (lowest index on ties) and the Euclidean distance to it.
-    Centres are model state (k x d numbers) inlined as a literal array."""
-    cs = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    Centres are model state (k x d numbers), one literal."""
+    cs = number_literal([[float(x) for x in c] for c in centres], "array<array<double>>")
     a = F.col(arr)
     d2 = F.transform(cs, lambda c: F.aggregate(F.zip_with(a, c, lambda x, y: (x - y) * (x - y)),
                                                F.lit(0.0), lambda s, v: s + v))
