@@ -9,8 +9,8 @@ product of one small softmax per digit,
 
 so that a token costs about entropy / 4 softmaxes of 16, and the model without
 weights is the unigram model. Features are the last word, the last two, and
-skips to the word two and three places back, each joined with the node and
-hashed to one of 2^``bits`` rows of 16 weights.
+the skip to the word two places back, each joined with the node and hashed to
+one of 2^``bits`` rows of 16 weights.
 
 * **Counts.** Every task counts its words and the shuffle sums them; the table
   of all counts is written, grows with the corpus and stays distributed.
@@ -52,7 +52,7 @@ BITS = 17                  # 2^17 rows of weights: 8 MB
 SHORTLIST = 1 << 18        # words with a code of their own
 ROUNDS = 2
 TASK_TOKENS = 4_000_000    # training tokens of a task
-BLOCK = 4_096              # tokens of a mini-batch
+BLOCK = 8_192              # tokens of a mini-batch
 RATE = 0.5
 MOST = 20.0                # change of a child's logarithm by the weights
 ALPHA = 0.1                # added to every count
@@ -147,34 +147,51 @@ class Codes:
 
 # -------------------------------------------------------------------- model
 def history(leaf: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hashes of the features at each token of texts strung together;
-    ``first`` is the place of each token's text start."""
+    """Hashes of the features, a row each, at each token of texts strung
+    together; ``first`` is the place of each token's text start."""
     at = np.arange(len(leaf))
 
     def back(k):
         return np.where(at - k >= first, leaf[np.maximum(at - k, 0)], BEFORE).astype(np.uint64)
 
-    one, two, three = back(1), back(2), back(3)
+    one, two = back(1), back(2)
     m1, m2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-    keys = np.stack([one * m1 + np.uint64(1), (one * m1 ^ two * m2) + np.uint64(2), two * m1 + np.uint64(3), three * m1 + np.uint64(4)], 1)
+    keys = np.stack([one * m1 + np.uint64(1), (one * m1 ^ two * m2) + np.uint64(2), two * m1 + np.uint64(3)])
     keys ^= keys >> np.uint64(31)
     return keys * m2
 
 
 def rows_for(keys: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    """Row of weights of each (feature, node)."""
-    h = (keys + (node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]) * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    """Row of weights of each (feature, event)."""
+    h = (keys + node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(64 - bits)).view(np.int64)
 
 
-def shares(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
+class Scratch:
+    """Arrays of WAYS columns that are used again block by block: fresh ones
+    of this size would be given back to the system each time."""
+
+    def __init__(self):
+        self.held: dict = {}
+
+    def rows(self, name: str, n: int) -> np.ndarray:
+        if len(self.held.get(name, ())) < n:
+            self.held[name] = np.empty((n + n // 4, WAYS), np.float32)
+        return self.held[name][:n]
+
+    def take(self, name: str, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.take(table, at, axis=0, out=self.rows(name, len(at)), mode="clip")
+
+
+def shares(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray, scratch: Scratch | None = None) -> np.ndarray:
     """Probabilities of the children of each event's node; the weights move
     a child's logarithm by ``MOST`` at most, so no exponential overflows."""
-    z = np.take(weights, rows[:, 0], axis=0)
-    for f in range(1, rows.shape[1]):
-        z += np.take(weights, rows[:, f], axis=0)
+    scratch = scratch or Scratch()
+    z = scratch.take("z", weights, rows[0])
+    for r in rows[1:]:
+        z += scratch.take("t", weights, r)
     np.clip(z, -MOST, MOST, out=z)
-    z += np.take(bias, node, axis=0)
+    z += scratch.take("t", bias, node)
     np.exp(z, out=z)
     z /= (z @ np.ones(WAYS, np.float32))[:, None]
     return z
@@ -230,28 +247,31 @@ class Learner:
         self.touched = np.zeros(len(weights), np.int64)
         self.codes, self.rate = codes, rate
         self.bits = len(weights).bit_length() - 1
+        self.scratch = Scratch()
 
     def learn(self, leaf: np.ndarray, keys: np.ndarray) -> None:
         at, node, digit = self.codes.events(leaf)
-        rows = rows_for(keys[at], node, self.bits)
-        slope = -shares(self.w, self.codes.bias, node, rows)
+        rows = rows_for(keys[:, at], node, self.bits)
+        slope = shares(self.w, self.codes.bias, node, rows, self.scratch)
+        np.negative(slope, out=slope)
         slope[np.arange(len(at)), digit] += 1
-        # (row, event) as one number: sorting values beats sorting places
-        place = rows.shape[1] * len(at)
-        packed = np.sort((rows.ravel() * place) + np.arange(place))
-        row, event = packed // place, packed % place // rows.shape[1]
+        # (row, event, feature) as one number: sorting values beats sorting places
+        low = np.int64(2 + len(at).bit_length())
+        packed = np.sort(((rows << low) | (np.arange(len(at)) << 2) | np.arange(len(rows))[:, None]).ravel())
+        row, event = packed >> low, (packed & ((1 << low) - 1)) >> 2
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        n = np.diff(np.append(first, place))
-        hit, sums = row[first], np.take(slope, event[first], axis=0)
+        n = np.diff(np.append(first, len(row)))
+        hit, sums = row[first], self.scratch.take("s", slope, event[first])
         again = np.flatnonzero(n > 1)  # most rows occur once in a block
         if len(again):
             inside = np.repeat(n > 1, n)
             start = np.concatenate([[0], np.cumsum(n[again])[:-1]])
-            sums[again] = np.add.reduceat(np.take(slope, event[inside], axis=0), start, axis=0)
+            sums[again] = np.add.reduceat(self.scratch.take("t", slope, event[inside]), start, axis=0)
         squares = self.squares[hit] + np.einsum("ij,ij->i", sums, sums)
         self.squares[hit] = squares
         sums *= (self.rate / np.sqrt(squares))[:, None]
-        self.w[hit] += sums
+        sums += self.scratch.take("t", self.w, hit)
+        self.w[hit] = sums
         self.touched[hit] += n
 
     def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -328,7 +348,7 @@ def changes(texts: DataFrame, shared) -> DataFrame:
             _, first = strung(leaf, ends)
             keys = history(leaf, first)
             for a in range(0, len(leaf), BLOCK):
-                learner.learn(leaf[a:a + BLOCK], keys[a:a + BLOCK])
+                learner.learn(leaf[a:a + BLOCK], keys[:, a:a + BLOCK])
         rows, n, w = learner.changes()
         for a in range(0, len(rows), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(rows[a:a + 10_000], pa.int64()), pa.array(n[a:a + 10_000], pa.int64()),
@@ -349,7 +369,7 @@ def score_texts(docs: DataFrame, model: Model, rare: DataFrame, doc: str = "doc_
 
     def run(batches):
         words, counts, base_norm, codes, weights, bits = shared.value
-        reader = Reader(words)
+        reader, scratch = Reader(words), Scratch()
         base = np.where(np.arange(len(counts)) == reader.rare, 0.0, np.log10((counts + ALPHA) / base_norm))
         for b in _texts(batches, 1):
             split, leaf, ends = reader.batch(t.as_py() for t in b.column(1))
@@ -360,7 +380,7 @@ def score_texts(docs: DataFrame, model: Model, rare: DataFrame, doc: str = "doc_
                 keys = history(leaf, first)
                 for a in range(0, len(leaf), BLOCK):
                     at, node, digit = codes.events(leaf[a:a + BLOCK])
-                    share = shares(weights, codes.bias, node, rows_for(keys[a:a + BLOCK][at], node, bits))
+                    share = shares(weights, codes.bias, node, rows_for(keys[:, a:a + BLOCK][:, at], node, bits), scratch)
                     share = np.log(share[np.arange(len(at)), digit].astype(float))
                     low = text[a]  # texts of this block
                     each = np.bincount(text[a:a + BLOCK][at] - low, share)

@@ -72,7 +72,7 @@ def test_probabilities_sum_to_one():
         seq = np.append(given, leaf)
         keys = history(seq, np.zeros(4, np.int64))
         at, node, digit = codes.events(seq[-1:])
-        total += shares(table, codes.bias, node, rows_for(keys[3:][at], node, 8))[np.arange(len(at)), digit].prod()
+        total += shares(table, codes.bias, node, rows_for(keys[:, 3:][:, at], node, 8))[np.arange(len(at)), digit].prod()
     assert total == pytest.approx(1.0, abs=1e-4)
 
 
@@ -80,7 +80,7 @@ def test_history_stops_at_the_text():
     leaf = np.array([1, 2, 3, 1, 2, 3])
     _, first = strung(leaf, np.array([3, 6]))
     keys = history(leaf, first)
-    assert (keys[:3] == keys[3:]).all() and len({tuple(k) for k in keys[:3].tolist()}) == 3
+    assert (keys[:, :3] == keys[:, 3:]).all() and len({tuple(k) for k in keys[:, :3].T.tolist()}) == 3
 
 
 def test_learner_learns_an_order():
@@ -91,11 +91,11 @@ def test_learner_learns_an_order():
     zero = np.zeros((1 << 10, maxent.WAYS), np.float32)
     learner = Learner(zero, np.zeros(1 << 10, np.int64), codes)
     for a in range(0, len(leaf), 50):
-        learner.learn(leaf[a:a + 50], keys[a:a + 50])
+        learner.learn(leaf[a:a + 50], keys[:, a:a + 50])
     at, node, digit = codes.events(leaf[:5])
 
     def chance(w):
-        return np.log(shares(w, codes.bias, node, rows_for(keys[:5][at], node, 10))[np.arange(len(at)), digit]).sum()
+        return np.log(shares(w, codes.bias, node, rows_for(keys[:, :5][:, at], node, 10))[np.arange(len(at)), digit]).sum()
     assert chance(learner.w) > chance(zero) + 4
     assert (learner.start == 0).all()
 
