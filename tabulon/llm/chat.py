@@ -10,7 +10,10 @@ system turn and as many whole turns just before it as fit ``history`` tokens.
 The loss mask is a list of (start, length) spans in code points over the
 texts of new assistant turns; repeated turns are masked, so each assistant
 text is a target exactly once. A single turn larger than the room gets a
-window of its own and is never cut.
+window of its own and is never cut. A system turn that leaves less than a
+quarter of the budget beside the history shortens the history, down to none,
+and then the room, down to one new turn: a window exceeds its budget only
+where the system turn and one new turn alone do.
 """
 
 from __future__ import annotations
@@ -50,7 +53,7 @@ def _starts(sums: Column, room: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(sums) - 2), zero, step, lambda a: a["at"])
 
 
-def _window(turns: Column, sums: Column, starts: Column, k: Column, has_system: Column, history: int) -> Column:
+def _window(turns: Column, sums: Column, starts: Column, k: Column, has_system: Column, history: Column) -> Column:
     """Window ``k``: repeated turns, then its new ones, formatted."""
     first = F.get(starts, k)
     last = F.coalesce(F.get(starts, k + 1), F.size(turns))
@@ -95,9 +98,11 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     def cut_up(ts):
         sums = F.aggregate(ts, F.array(F.lit(0).cast("bigint")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["tokens"])))
         has_system = F.when(F.element_at(ts, 1)["own"] == SYSTEM_ROLE, 1).otherwise(0)
-        room = F.greatest(F.lit(budget - history) - F.when(has_system == 1, F.element_at(ts, 1)["tokens"]).otherwise(0), F.lit(budget // 4))
+        system = F.when(has_system == 1, F.element_at(ts, 1)["tokens"]).otherwise(0)
+        back = F.greatest(F.least(F.lit(history), F.lit(budget - budget // 4) - system), F.lit(0))
+        room = F.greatest(F.lit(budget) - back - system, F.lit(1))
         return let(sums, lambda s: let(_starts(s, room), lambda at: F.transform(
-            F.sequence(F.lit(0), F.size(at) - 1), lambda k: _window(ts, s, at, k, has_system, history))))
+            F.sequence(F.lit(0), F.size(at) - 1), lambda k: _window(ts, s, at, k, has_system, back))))
     out = whole.select("conv_id", F.explode(let(F.col("turns"), cut_up)).alias("w"))
     return out.select("conv_id", "w.*")
 

@@ -62,6 +62,20 @@ def test_history_is_repeated_and_masked(spark):
         assert all(s["start"] > first for s in w["loss"])
 
 
+@pytest.mark.parametrize("size", [5, 40, 60, 80, 300])
+def test_budget_with_a_large_system_turn(spark, size):
+    """A window is over its budget only where the system turn and one new turn are."""
+    rows = [(1, 0, "system", "s " * size)] + [(1, i, "assistant" if i % 2 == 0 else "user", "x " * (i % 9)) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    windows = chat.format_chat(df, budget=100, history=25)
+    assert {r["conv_id"]: ([(t["role"], t["text"]) for t in r["turns"]], r["loss"]) for r in chat.read_back(windows).collect()} == wanted(rows)
+    out = windows.collect()
+    for w in out:
+        assert w["n_tokens"] <= 100 or w["n_turns"] - w["n_repeated"] == 1 and w["n_repeated"] <= 1
+        assert w["window"] == 0 or w["formatted"].startswith("<turn system>")
+    assert size != 5 or any(w["n_repeated"] > 1 for w in out)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.read_back(chat.format_chat(df)).count() == 0
