@@ -38,6 +38,7 @@ empty one.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -201,18 +202,19 @@ class Reader:
     """Texts as leaves of the shortlist, block by block."""
 
     def __init__(self, words: list[bytes]):
-        self.leaf = {w: i for i, w in enumerate(words)}
         self.rare, self.end = len(words), len(words) + 1
+        self.leaf = {w: i for i, w in enumerate(words)} | {END.encode(): self.end}
 
     def batch(self, texts) -> tuple[list, np.ndarray, np.ndarray]:
-        """(words of each text, leaves of all tokens strung together, ends)."""
-        split = [tokens(t) for t in texts]
-        get, rare, end = self.leaf.get, self.rare, self.end
+        """(all tokens strung together, their leaves, ends of the texts)."""
         flat: list = []
-        for ws in split:
-            flat += [get(w, rare) for w in ws]
-            flat.append(end)
-        return split, np.array(flat, np.int64), np.cumsum([len(ws) + 1 for ws in split]).astype(np.int64)
+        ends = []
+        for t in texts:
+            flat += tokens(t)
+            flat.append(b"")
+            ends.append(len(flat))
+        leaf = np.fromiter(map(self.leaf.get, flat, repeat(self.rare)), np.int64, len(flat))
+        return flat, leaf, np.array(ends, np.int64)
 
 
 def _texts(batches, column: int, most: int = 4_000_000):
@@ -344,7 +346,7 @@ def changes(texts: DataFrame, shared) -> DataFrame:
         words, codes, weights, touches = shared.value
         reader, learner = Reader(words), Learner(weights, touches, codes)
         for b in _texts(batches, 0):
-            _, leaf, ends = reader.batch(t.as_py() for t in b.column(0))
+            _, leaf, ends = reader.batch(b.column(0).to_pylist())
             _, first = strung(leaf, ends)
             keys = history(leaf, first)
             for a in range(0, len(leaf), BLOCK):
@@ -372,7 +374,7 @@ def score_texts(docs: DataFrame, model: Model, rare: DataFrame, doc: str = "doc_
         reader, scratch = Reader(words), Scratch()
         base = np.where(np.arange(len(counts)) == reader.rare, 0.0, np.log10((counts + ALPHA) / base_norm))
         for b in _texts(batches, 1):
-            split, leaf, ends = reader.batch(t.as_py() for t in b.column(1))
+            flat, leaf, ends = reader.batch(b.column(1).to_pylist())
             text, first = strung(leaf, ends)
             n = len(ends)
             chance = np.zeros(n)
@@ -387,12 +389,14 @@ def score_texts(docs: DataFrame, model: Model, rare: DataFrame, doc: str = "doc_
                     chance[low:low + len(each)] += each
             is_rare = leaf == reader.rare
             known = np.bincount(text, (counts[leaf] > 0).astype(float), minlength=n).astype(np.int64)
-            get = reader.leaf
+            n_rare = np.bincount(text[is_rare], minlength=n).astype(np.int64)
+            rare_words = pa.array([flat[i] for i in np.flatnonzero(is_rare).tolist()], pa.binary()).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_rare)]), pa.int32()), rare_words)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.diff(np.concatenate([[0], ends])), pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(np.bincount(text, is_rare.astype(float), minlength=n).astype(np.int64), pa.int64()),
+                 pa.array(n_rare, pa.int64()),
                  pa.array(np.bincount(text, base[leaf], minlength=n), pa.float64()), pa.array(chance / np.log(10.0), pa.float64()),
-                 pa.array([[w.decode() for w in ws if w not in get] for ws in split], pa.list_(pa.string()))],
+                 lists],
                 ["doc_id", "n_tokens", "known", "n_rare", "base", "chance", "rare"])
 
     parts = in_arrow(src, run, f"doc_id {kind}, n_tokens bigint, known bigint, n_rare bigint, base double, chance double, rare array<string>")
