@@ -56,6 +56,24 @@ def test_edges(spark, monkeypatch):
     check(spark, rows, 400, monkeypatch)
 
 
+@pytest.mark.parametrize("crowd", [None, 1])
+def test_strings_with_one_hash_modulo_a_power_of_two(spark, monkeypatch, crowd):
+    """Two letters patterns whose difference is a polynomial that vanishes
+    modulo 2^64 at every odd base: they are different strings."""
+    d = np.array([1])
+    for e in [2, *(2 * k for k in range(1, 9) for _ in "ab")]:
+        d = np.convolve(d, np.r_[1, np.zeros(e - 1, int), -1])
+    assert abs(d).max() < 60 and sum(int(c) * pow(12345678901234567891, i, 1 << 64) for i, c in enumerate(d)) % (1 << 64) == 0
+    low = np.maximum(0, -d)
+    a, b = ("".join(chr(40 + c) for c in x) for x in (low, low + d))
+    rnd = random.Random(21)
+    rows = []
+    for i in range(8):
+        left, right = ("".join(rnd.choice("abcdefgh") for _ in range(900)) for _ in "lr")
+        rows += [(2 * i, left + a + right), (2 * i + 1, left + b + right)]
+    check(spark, rows, 400, monkeypatch, crowd)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert R.remove_repeats(df).count() == 0
