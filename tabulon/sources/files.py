@@ -13,6 +13,7 @@ from tabulon.functions.geometry import ring_area
 
 
 BROKEN = "_corrupt_record"
+RECORDS_A_FILE = 50_000
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | None = None, broken: str = "drop") -> DataFrame:
@@ -36,7 +37,9 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | None =
 
 
 def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:
-    df.write.format("xml").option("rootTag", root_tag).option("rowTag", row_tag).save(path)
+    """One or more files a task, of ``RECORDS_A_FILE`` records at most: a file
+    is read back whole by one task."""
+    df.write.format("xml").option("rootTag", root_tag).option("rowTag", row_tag).option("maxRecordsPerFile", RECORDS_A_FILE).save(path)
 
 
 def read_geojson(spark: SparkSession, path: str, code_prop: str = "boroughCode",
