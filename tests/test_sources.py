@@ -160,3 +160,17 @@ def test_nested_xml_round_trip(spark, tmpdir_fresh):
     rows = {r["id"]: r for r in back.collect()}
     assert len(rows) == 3 and tuple(rows[1]["body"]) == ("a <b> & c", True) and [tuple(t) for t in rows[1]["tag"]] == [("x", "Y"), ("y", "N")]
     assert rows[2]["body"] is None and not rows[2]["tag"] and [tuple(t) for t in rows[3]["tag"]] == [("z", None)]
+
+
+def test_xml_files_are_bounded(spark, tmpdir_fresh, monkeypatch):
+    """One task's records go to files of a bounded number of records, as a
+    file is read back whole by one task."""
+    import glob
+
+    from tabulon.sources import files
+
+    monkeypatch.setattr(files, "RECORDS_A_FILE", 3)
+    out = f"{tmpdir_fresh}/x"
+    files.write_xml(spark.range(10).coalesce(1), out, "all", "one")
+    assert len(glob.glob(f"{out}/part-*")) == 4
+    assert sorted(r[0] for r in files.read_xml(spark, out, "one", "id BIGINT").collect()) == list(range(10))
