@@ -1,6 +1,8 @@
 """Point-in-polygon, evaluation, sampling, text and model invariants."""
 
 import numpy as np
+
+from conftest import SF001
 from pyspark.sql import functions as F
 
 from tabulon.operators import evaluate as EV
@@ -116,6 +118,33 @@ def test_svd_of_a_larger_matrix(spark):
     assert len(s) == 0 and u.count() == 0
 
 
+def test_gram_times_in_one_pass(spark, monkeypatch):
+    """A'A q by slices and slabs smaller than the matrix, with a document met
+    twice in the cells, and without a join of the cells with the block."""
+    from tabulon.operators import text as T
+    rng = np.random.default_rng(9)
+    a = rng.random((40, 30)) * (rng.random((40, 30)) > 0.6)
+    a[3] = 0
+    cells = [(i, j, float(a[i, j]) / 2) for i in range(40) for j in range(30) if a[i, j]] * 2 + [(5, None, 1.0), (5, 2, None)]
+    monkeypatch.setattr(T, "SLAB", 7)
+    monkeypatch.setattr(T, "CELLS_A_TASK", 50)
+    v = T.doc_vectors(spark.createDataFrame(cells, "doc_id BIGINT, term_id INT, w DOUBLE"), "doc_id", "term_id", "w")
+    q = rng.random((30, 5))
+    assert v.count() == 39 and np.allclose(T.gram_times(v, q), a.T @ (a @ q))
+    got = {r["doc_id"]: r["c"] for r in T.times_block(v, spark.sparkContext.broadcast(q), "doc_id").collect()}
+    assert set(got) == set(range(40)) - {3} and all(np.allclose(c, a[i] @ q) for i, c in got.items())
+
+
+def test_lsa_concepts_fits_once(spark, monkeypatch):
+    from tabulon.plans import text as P
+    fits = []
+    u = spark.createDataFrame([(1, 0, 0.5), (2, 0, 0.25)], "doc_id BIGINT, concept INT, weight DOUBLE")
+    vocab = spark.createDataFrame([(0, "apple"), (1, "pear")], "term_id BIGINT, term STRING")
+    monkeypatch.setattr(P, "lsa", lambda *a, **k: fits.append(1) or (vocab, np.ones(1), np.array([[0.8], [0.6]]), u))
+    rows = [(r["kind"], r["rank"], r["item"]) for r in P.q_lsa_concepts(spark, SF001).collect()]
+    assert len(fits) == 1 and sorted(rows) == [("doc", 1, "Doc 1"), ("doc", 2, "Doc 2"), ("term", 1, "apple"), ("term", 2, "pear")]
+
+
 def test_tfidf_formula(spark):
     from tabulon.operators import text as T
     docs = spark.createDataFrame([(1, "apple banana apple zzz"), (2, "banana cherry")], "doc_id BIGINT, text STRING")
