@@ -145,6 +145,21 @@ def test_lsa_concepts_fits_once(spark, monkeypatch):
     assert len(fits) == 1 and sorted(rows) == [("doc", 1, "Doc 1"), ("doc", 2, "Doc 2"), ("term", 1, "apple"), ("term", 2, "pear")]
 
 
+def test_one_hot_rows_keep_features_once(spark, monkeypatch):
+    """What the last checkpoint of the connection rows holds of the features
+    is ``z``, and the anomalies' checkpoint holds none."""
+    from tabulon.plans import clusters as C
+    from tabulon.session import cut
+    kept = []
+    monkeypatch.setattr(C, "cut", lambda d: kept.append(d.columns) or cut(d))
+    monkeypatch.setattr(C, "ANOMALY_K", 3)
+    monkeypatch.setattr(C, "ANOMALY_RANK", 5)
+    rows = C.q_anomaly_fitted(spark, SF001).collect()
+    wide = {"x", "z", "features"}
+    assert len(kept) == 3 and wide & set(kept[1]) == {"z"} and not wide & set(kept[2])
+    assert 0 < len(rows) < 5 and all(r["line"].count(",") == 9 for r in rows)
+
+
 def test_tfidf_formula(spark):
     from tabulon.operators import text as T
     docs = spark.createDataFrame([(1, "apple banana apple zzz"), (2, "banana cherry")], "doc_id BIGINT, text STRING")
