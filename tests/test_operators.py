@@ -132,6 +132,7 @@ def test_gram_times_in_one_pass(spark, monkeypatch):
     q = rng.random((30, 5))
     assert v.count() == 39 and np.allclose(T.gram_times(v, q), a.T @ (a @ q))
     got = {r["doc_id"]: r["c"] for r in T.times_block(v, spark.sparkContext.broadcast(q), "doc_id").collect()}
+    assert all(r["at"] == sorted(r["at"]) for r in v.collect())  # equal documents tie exactly
     assert set(got) == set(range(40)) - {3} and all(np.allclose(c, a[i] @ q) for i, c in got.items())
 
 
