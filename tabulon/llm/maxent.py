@@ -56,6 +56,8 @@ TASK_TOKENS = 4_000_000    # training tokens of a task
 BLOCK = 8_192              # tokens of a mini-batch
 RATE = 0.5
 MOST = 20.0                # change of a child's logarithm by the weights
+FEW = 32                   # events of a row of weights that are added block by block
+CHUNK = 2_048              # events whose softmaxes are made at a time: they stay in the cache
 ALPHA = 0.1                # added to every count
 END = ""                   # the end token in the count table; no word is empty
 BEFORE = -1                # history before the text
@@ -188,14 +190,17 @@ def shares(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.nda
     """Probabilities of the children of each event's node; the weights move
     a child's logarithm by ``MOST`` at most, so no exponential overflows."""
     scratch = scratch or Scratch()
-    z = scratch.take("z", weights, rows[0])
-    for r in rows[1:]:
-        z += scratch.take("t", weights, r)
-    np.clip(z, -MOST, MOST, out=z)
-    z += scratch.take("t", bias, node)
-    np.exp(z, out=z)
-    z /= (z @ np.ones(WAYS, np.float32))[:, None]
-    return z
+    out, ones = scratch.rows("z", len(node)), np.ones(WAYS, np.float32)
+    for a in range(0, len(node), CHUNK):
+        z = out[a:a + CHUNK]
+        np.take(weights, rows[0, a:a + CHUNK], axis=0, out=z, mode="clip")
+        for r in rows[1:]:
+            z += scratch.take("c", weights, r[a:a + CHUNK])
+        np.clip(z, -MOST, MOST, out=z)
+        z += scratch.take("c", bias, node[a:a + CHUNK])
+        np.exp(z, out=z)
+        z /= (z @ ones)[:, None]
+    return out
 
 
 class Reader:
@@ -257,18 +262,14 @@ class Learner:
         slope = shares(self.w, self.codes.bias, node, rows, self.scratch)
         np.negative(slope, out=slope)
         slope[np.arange(len(at)), digit] += 1
-        # (row, event, feature) as one number: sorting values beats sorting places
-        low = np.int64(2 + len(at).bit_length())
-        packed = np.sort(((rows << low) | (np.arange(len(at)) << 2) | np.arange(len(rows))[:, None]).ravel())
-        row, event = packed >> low, (packed & ((1 << low) - 1)) >> 2
+        # (row, event) as one number: sorting values beats sorting places
+        low = np.int64(len(at).bit_length())
+        packed = np.sort(((rows << low) | np.arange(len(at))).ravel())
+        row, event = packed >> low, packed & ((np.int64(1) << low) - 1)
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         n = np.diff(np.append(first, len(row)))
         hit, sums = row[first], self.scratch.take("s", slope, event[first])
-        again = np.flatnonzero(n > 1)  # most rows occur once in a block
-        if len(again):
-            inside = np.repeat(n > 1, n)
-            start = np.concatenate([[0], np.cumsum(n[again])[:-1]])
-            sums[again] = np.add.reduceat(self.scratch.take("t", slope, event[inside]), start, axis=0)
+        self.add_more(sums, slope, event, first, n)
         squares = self.squares[hit] + np.einsum("ij,ij->i", sums, sums)
         self.squares[hit] = squares
         sums *= (self.rate / np.sqrt(squares))[:, None]
@@ -276,6 +277,24 @@ class Learner:
         self.w[hit] = sums
         self.touched[hit] += n
 
+    def add_more(self, sums: np.ndarray, slope: np.ndarray, event: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        """Add to ``sums``, which hold the first event of each row, the others:
+        rows in descending order of their events, so that the k-th events of
+        those that have so many are added as one block; what is left of the
+        few longest runs is summed run by run."""
+        again = np.flatnonzero(n > 1)
+        again = again[np.argsort(-n[again], kind="stable")]
+        size, start = n[again], first[again]
+        total = self.scratch.take("u", sums, again)
+        for k in range(1, FEW):
+            more = int(np.searchsorted(-size, -k))  # rows with over k events
+            if not more:
+                break
+            total[:more] += self.scratch.take("t", slope, event[start[:more] + k])
+        for i in range(int(np.searchsorted(-size, -FEW))):
+            total[i] += self.scratch.take("t", slope, event[start[i] + FEW:start[i] + size[i]]).sum(0)
+        sums[again] = total
+
     def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hit = np.flatnonzero(self.touched)
         return hit, self.touched[hit], self.w[hit] - self.start[hit]

@@ -100,6 +100,31 @@ def test_learner_learns_an_order():
     assert (learner.start == 0).all()
 
 
+def test_block_updates_equal_plain_sums():
+    """Softmaxes are made in chunks that stay in the cache, and the events of
+    a row of weights (few, or hundreds) are added in blocks."""
+    r = np.random.default_rng(5)
+    codes = Codes(r.integers(1, 90, 60).astype(float))
+    leaf = np.minimum(r.geometric(0.08, 3_000), 59)
+    keys = history(leaf, np.zeros(len(leaf), np.int64))
+    learner = Learner(r.normal(size=(1 << 9, maxent.WAYS)).astype(np.float32), np.arange(1 << 9), codes)
+    start, squares = learner.w.copy(), learner.squares.copy()
+    learner.learn(leaf, keys)
+    at, node, digit = codes.events(leaf)
+    rows = rows_for(keys[:, at], node, 9)
+    z = start[rows].sum(0) + codes.bias[node]
+    slope = -np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    slope[np.arange(len(at)), digit] += 1
+    sums, n = np.zeros(start.shape), np.bincount(rows.ravel(), minlength=1 << 9)
+    for x in rows:
+        np.add.at(sums, x, slope)
+    squares = squares + (sums ** 2).sum(1)
+    assert (n > 100).any() and (n == 1).any()
+    assert (learner.touched == n).all() and np.allclose(learner.squares, squares, rtol=1e-4)
+    assert np.allclose(learner.w, start + learner.rate * sums / np.sqrt(squares)[:, None], atol=1e-4)
+    assert len(at) > 2 * maxent.CHUNK >= len(learner.scratch.held["c"])
+
+
 def test_edges(spark):
     long = "x y z " * 20_000
     rows = [(1, "A a b"), (2, None), (2, None), (3, ""), (4, " \t"), (None, "a b"), (5, long), (6, "é É a"), (6, "é É a"), (7, "end")]
