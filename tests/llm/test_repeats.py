@@ -91,3 +91,32 @@ def test_scan_reaches_every_partner():
         reach = [(R.common(l, l2), R.common(r, r2)) for j, (r2, l2) in enumerate(rows) if j != i]
         good = [(a, b) for a, b in reach if a + b >= 20]
         assert (scan.left[i], scan.right[i]) == (max([a for a, _ in good], default=0), max([b for _, b in good], default=0))
+
+
+def test_each_window_is_settled_by_one_anchor(spark):
+    """Neighbourhoods hold no byte beyond the windows that their anchors
+    settle, and each window of a text lies in exactly one."""
+    rnd = random.Random(4)
+    n, k = 50, R.gram_size(50)
+    texts = ["".join(rnd.choice("abc") for _ in range(3_000)), "ab" * 300, "x" * 200, "abc" * 16 + "ab", "y" * 49]
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc_id bigint, th bigint, text string")
+    rows = R.find_anchors(df, n).collect()
+    for i, t in enumerate(texts):
+        starts = []
+        for r in (r for r in rows if r["doc_id"] == i):
+            assert 0 <= r["before"] <= n - k and k <= r["after"] <= n
+            starts += range(r["at"] - r["before"], r["at"] + r["after"] - n + 1)
+        assert sorted(starts) == list(range(len(t) - n + 1))
+
+
+def test_one_edit_leaves_few_edges(spark):
+    """Texts that differ in one byte ship only the neighbourhoods with a
+    window that holds it."""
+    rnd = random.Random(6)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(20_000))
+    rows = [(1, 0, text), (2, 0, text[:10_000] + "#" + text[10_001:])]
+    found = R.find_anchors(spark.createDataFrame(rows, "doc_id bigint, th bigint, text string"), 400).collect()
+    seen = collections.Counter((r["gram"], r["ctx"]) for r in found)
+    alone = [r for r in found if seen[r["gram"], r["ctx"]] == 1]
+    assert alone and all(r["at"] - r["before"] <= 10_000 < r["at"] + r["after"] for r in alone)
+    assert sum(r["before"] + r["after"] - 399 for r in found) == 2 * 19_601
