@@ -56,7 +56,7 @@ TASK_TOKENS = 4_000_000    # training tokens of a task
 BLOCK = 8_192              # tokens of a mini-batch
 RATE = 0.5
 MOST = 20.0                # change of a child's logarithm by the weights
-FEW = 32                   # events of a row of weights that are added block by block
+FEW = 8                    # events of a row of weights that are added block by block
 CHUNK = 2_048              # events whose softmaxes are made at a time: they stay in the cache
 ALPHA = 0.1                # added to every count
 END = ""                   # the end token in the count table; no word is empty
@@ -178,7 +178,7 @@ class Scratch:
         self.held: dict = {}
 
     def rows(self, name: str, n: int) -> np.ndarray:
-        if len(self.held.get(name, ())) < n:
+        if len(self.held.get(name, ())) < max(n, 1):
             self.held[name] = np.empty((n + n // 4, WAYS), np.float32)
         return self.held[name][:n]
 
@@ -280,19 +280,24 @@ class Learner:
     def add_more(self, sums: np.ndarray, slope: np.ndarray, event: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
         """Add to ``sums``, which hold the first event of each row, the others:
         rows in descending order of their events, so that the k-th events of
-        those that have so many are added as one block; what is left of the
-        few longest runs is summed run by run."""
+        those that have so many are added as one block. Longer runs, which are
+        few, are left to reduceat; either way takes 32-bit sums in one order."""
         again = np.flatnonzero(n > 1)
         again = again[np.argsort(-n[again], kind="stable")]
         size, start = n[again], first[again]
-        total = self.scratch.take("u", sums, again)
-        for k in range(1, FEW):
+        long = int(np.searchsorted(-size, -FEW))  # rows with over FEW events
+        if long:
+            inside = np.repeat(start[:long] - np.cumsum(size[:long]) + size[:long], size[:long]) + np.arange(size[:long].sum())
+            runs = np.cumsum(size[:long]) - size[:long]
+            sums[again[:long]] = np.add.reduceat(self.scratch.take("t", slope, event[inside]), runs, axis=0)
+        again, size, start = again[long:], size[long:], start[long:]
+        total = self.scratch.take("u", slope, event[start + 1])
+        for k in range(2, FEW):
             more = int(np.searchsorted(-size, -k))  # rows with over k events
             if not more:
                 break
             total[:more] += self.scratch.take("t", slope, event[start[:more] + k])
-        for i in range(int(np.searchsorted(-size, -FEW))):
-            total[i] += self.scratch.take("t", slope, event[start[i] + FEW:start[i] + size[i]]).sum(0)
+        total += self.scratch.take("t", sums, again)
         sums[again] = total
 
     def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
